@@ -191,3 +191,8 @@ def collapse_chunks(df: DataFrame, keys: list[str], order_by: list[str], scalars
               .agg(first.alias("_first"),
                    *[nested.collect_distinct_flat(F.col(a)).alias(a) for a in arrays])
               .select(*keys, *[F.col(f"_first._{c}").alias(c) for c in scalars], *arrays))
+
+
+def map_key_list(df: DataFrame, column: str, alias: str = "key") -> DataFrame:
+    """Distinct keys of a map column."""
+    return df.select(F.explode(F.map_keys(column)).alias(alias)).distinct()

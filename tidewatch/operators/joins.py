@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql.types import MapType
 
 
 def latest_per_key(df: DataFrame, keys: list[str], newest: list[str | Column]) -> DataFrame:
@@ -18,6 +19,15 @@ def latest_per_key(df: DataFrame, keys: list[str], newest: list[str | Column]) -
     return ranked.filter("_rank = 1").drop("_rank")
 
 
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """DISTINCT that also takes top-level map columns, compared as sorted entries."""
+    maps = [f.name for f in df.schema.fields if isinstance(f.dataType, MapType)]
+    entries = df.withColumns({c: F.array_sort(F.map_entries(c)) for c in maps}) if maps else df
+    distinct = entries.distinct()
+    back = {c: F.map_from_entries(c) for c in maps}
+    return distinct.withColumns(back) if maps else distinct
+
+
 def attach(df: DataFrame, aggregate: DataFrame, keys: list[str]) -> DataFrame:
     """Left join of a per-key aggregate."""
     return df.join(aggregate, keys, "left")
