@@ -47,6 +47,7 @@ def compare(con, df, sql):
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} != {sorted(names)}"
     left, right = rows_of(df.columns, found), rows_of(names, expected)
+    compare.count = len(found)
     if left == right:
         return ""
     return (f"{len(found)} rows against {len(expected)}\n  only Spark: {list((left - right))[:2]}"
@@ -70,7 +71,7 @@ def main(sf_dir="/root/testdata/sf0.01", *only):
         except Exception as e:  # report and go on with the next query
             problem = f"{type(e).__name__}: {str(e)[:900]}"
         bad += bool(problem)
-        print(f"{'FAIL' if problem else 'ok  '} {name} {time.time() - start:.1f}s {problem}", flush=True)
+        print(f"{'FAIL' if problem else 'ok  '} {name} {time.time() - start:.1f}s rows={getattr(compare, 'count', None)} {problem}", flush=True)
     print("failed:", bad)
 
 
