@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from tidewatch.functions import nested, scoring, text
+from tidewatch.operators import lookup
 from tidewatch.schemas import CNA_DOCUMENT, NVD_DOCUMENT, SCORES
 
 V31 = "CVSS:3.1/AV:N/AC:L/PR:N/UI:N/S:C/C:H/I:H/A:H"
@@ -75,10 +76,11 @@ def test_q1_vector_is_anchored(value):
     assert [part(m, True) for m in ("C", "I", "S")] == ["L", "N", "3.1"]
 
 
-def test_risk_flags(value):
-    flags = lambda v, ver, **kw: dict(zip(
-        scoring.risk_flags(F.lit(v), F.lit(ver), **kw),
-        value(*scoring.risk_flags(F.lit(v), F.lit(ver), **kw).values())))
+def test_risk_flags(spark):
+    def flags(v, ver, **kw):
+        row = spark.createDataFrame([(v, ver)], "vectorString string, cvssVersion string")
+        found = lookup.risk_flags(row, **kw).first().asDict()
+        return {k: x for k, x in found.items() if k.startswith("is_")}
     assert all(flags(V31, "3.1").values())
     assert not flags(V31, "3.1", compat=True)["is_fully_critical"]
     old = flags(V2, "2.0")

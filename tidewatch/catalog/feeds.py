@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import feeds, quality
+from ..session import cut_lineage
+from ..sources.tables import spread
 from . import query
 from .tables import ntz, read
 
@@ -90,7 +92,7 @@ def raw_records(spark, sf_dir):
                                  ).otherwise(none)
     pulls = F.array(pull("2025-05-03T10:00:00.000001+00:00", cna, nvd_in(1)),
                     pull("2025-05-03T11:00:00+00:00", none, nvd_in(0)))
-    return (read(spark, sf_dir, "orders")
+    return (spread(read(spark, sf_dir, "orders"))
             .select(F.col("o_orderpriority").alias("vendor"), F.col("o_orderstatus").alias("product"),
                     F.explode(pulls).alias("p"))
             .select("vendor", "product", "p.*"))
@@ -150,7 +152,7 @@ def _flat(staged):
 
 @query("staged_feed", f"WITH {STAGED_CTE} SELECT * FROM staged")
 def staged_feed(spark, sf_dir):
-    return _flat(feeds.stage(typed_records(spark, sf_dir)))
+    return _flat(feeds.stage(typed_records(spark, sf_dir), cut=cut_lineage))
 
 
 @query("null_profile", f"""WITH {STAGED_CTE}, c AS (
@@ -166,5 +168,5 @@ SELECT DATE '2025-05-04' AS "dqcheckDate", TIMESTAMP '2025-05-04 01:02:03' AS "d
                           "Descriptions": "0"}.items())}
 FROM c""")
 def null_profile(spark, sf_dir):
-    staged = feeds.stage(typed_records(spark, sf_dir))
+    staged = feeds.stage(typed_records(spark, sf_dir), cut=cut_lineage)
     return quality.null_profile(staged, "orders_feed", ntz("2025-05-04 01:02:03"))

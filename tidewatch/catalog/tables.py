@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scoring
+from ..sources.tables import spread
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -62,7 +63,7 @@ def findings(spark: SparkSession, sf_dir: str, keyed: bool = True) -> DataFrame:
 
     Without ``keyed`` there is no vendor and product, and hence no join.
     """
-    rows = read(spark, sf_dir, "lineitem")
+    rows = spread(read(spark, sf_dir, "lineitem"))
     keys = []
     if keyed:
         part = read(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")

@@ -81,19 +81,26 @@ def cvss_vector(vector: Column, version: Column, compat: bool = False) -> dict[s
     return columns
 
 
-def metric_is(vector: Column, metric: str, value: str, compat: bool = False) -> Column:
-    """Whether a component has a value, without a regex in the hot path."""
-    if compat:
-        return vector_metric(vector, metric, True) == value
-    padded = F.concat(F.lit("/"), vector, F.lit("/"))
+def metric_is(padded: Column, metric: str, value: str) -> Column:
+    """Whether a component has a value, without a regex.
+
+    ``padded`` is the vector between two slashes; the first of a repeated component counts.
+    """
     wanted = f"/{metric}:{value}/"
     at = F.instr(padded, f"/{metric}:")
     return F.substr(padded, at, F.lit(len(wanted))) == wanted
 
 
-def risk_flags(vector: Column, version: Column, compat: bool = False) -> dict[str, Column]:
-    """Eight never-null booleans."""
-    is_ = lambda m, v: metric_is(vector, m, v, compat)
+def component_flags(padded: Column, version: Column, compat: bool = False) -> dict[str, Column]:
+    """Seven never-null booleans of a vector between slashes.
+
+    ``compat`` looks components up anywhere in the text, as ``vector_metric`` does.
+    """
+    def is_(metric: str, value: str) -> Column:
+        if compat:
+            return vector_metric(padded, metric, compat) == value
+        return metric_is(padded, metric, value)
+
     v2, v3 = version == "2.0", version != "2.0"
     anonymous = v2 & is_("Au", "N")
     flags = {
@@ -105,13 +112,16 @@ def risk_flags(vector: Column, version: Column, compat: bool = False) -> dict[st
         "is_high_int": is_("I", "H"),
         "is_high_avail": is_("A", "H"),
     }
-    flags = {name: F.coalesce(flag, F.lit(False)) for name, flag in flags.items()}
-    flags["is_fully_critical"] = F.coalesce(
-        flags["is_network_based"] & flags["is_no_ui"] & flags["is_low_priv"]
-        & (flags["is_scope_changed"] | v2)
-        & (flags["is_high_conf"] | flags["is_high_int"] | flags["is_high_avail"]),
-        F.lit(False))
-    return flags
+    return {name: F.coalesce(flag, F.lit(False)) for name, flag in flags.items()}
+
+
+def fully_critical(version: Column) -> Column:
+    """The eighth flag, from the columns that the other seven became."""
+    flag = lambda name: F.col(f"is_{name}")
+    return F.coalesce(
+        flag("network_based") & flag("no_ui") & flag("low_priv")
+        & (flag("scope_changed") | (version == "2.0"))
+        & (flag("high_conf") | flag("high_int") | flag("high_avail")), F.lit(False))
 
 
 def best_entry(scores: Column) -> Column:

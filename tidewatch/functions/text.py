@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 # Spellings that mean "no vendor / no product".
 NOT_AVAILABLE = ["n/a", "*** n/a ***", ""]
+# The characters of Unicode white space.
+BLANKS = ("\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+          "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
 def normalize_id(c: Column, trim: bool = True) -> Column:
@@ -54,7 +57,7 @@ def message_id(vendor: Column, product: Column) -> Column:
 
 def clean_key(c: Column) -> Column:
     """Trimmed lower-case map key; NULL when it carries no name."""
-    key = F.lower(F.regexp_replace(c, r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""))
+    key = F.lower(F.btrim(c, F.lit(BLANKS)))
     return F.when(~key.isin(NOT_AVAILABLE), key)
 
 

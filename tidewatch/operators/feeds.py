@@ -25,13 +25,22 @@ def available_only(df: DataFrame, flag: str = "cveDataAvailable") -> DataFrame:
     return df.filter(F.col(flag)).drop(flag)
 
 
+def _parsed(text_column: str, schema: str) -> Column:
+    """Parse as the output of a generator.
+
+    Filters are not pushed below a generator, so a later filter on the document does not make
+    Spark parse it a second time.
+    """
+    return F.explode(F.array(F.from_json(text_column, schema)))
+
+
 def parse_pairs(df: DataFrame, pairs: str, schema: str, id_name: str = "cveId") -> DataFrame:
     """One row per ``[id, json]`` pair, the document parsed as ``details``."""
     others = [c for c in df.columns if c != pairs]
-    return (df.select(*others, F.explode(pairs).alias("pair"))
-              .select(*others,
-                      F.get("pair", F.lit(0)).alias(id_name),
-                      F.from_json(F.get("pair", F.lit(1)), schema).alias("details")))
+    return (df.select(*others, F.explode(pairs).alias("_pair"))
+              .select(*others, F.get("_pair", F.lit(0)).alias(id_name),
+                      F.get("_pair", F.lit(1)).alias("_text"))
+              .select(*others, id_name, _parsed("_text", schema).alias("details")))
 
 
 def cna_columns(doc: Column, compat: bool = False) -> dict[str, Column]:
@@ -88,7 +97,9 @@ def flatten_nvd(parsed: DataFrame, compat: bool = False) -> DataFrame:
 def feed_documents(raw: DataFrame, compat: bool = False) -> DataFrame:
     """Documents of both feeds in one pass over the raw records.
 
-    Columns that belong to the other feed are NULL.
+    Columns that belong to the other feed are NULL. ``usable`` is false for NVD documents that
+    ``flatten_nvd`` leaves out; they are dropped when pulls are collapsed, because a filter here
+    would be pushed down and parse every document twice.
     """
     tagged = lambda feed: F.transform(
         nested.or_empty(F.col(feed)),
@@ -96,22 +107,24 @@ def feed_documents(raw: DataFrame, compat: bool = False) -> DataFrame:
                            F.get(p, F.lit(1)).alias("text")))
     items = raw.select("vendor", "product", *PULL,
                        F.explode(F.concat(tagged("cvelistv5"), tagged("fkie_nvd"))).alias("item"))
-    from_cna, from_nvd = F.col("item.feed") == "cvelistv5", F.col("item.feed") == "fkie_nvd"
+    is_cna = F.col("item.feed") == "cvelistv5"
     parsed = items.select(
-        "vendor", "product", *PULL, F.col("item.id").alias("pair_id"),
-        F.when(from_cna, F.from_json("item.text", CNA_DOCUMENT)).alias("cna"),
-        F.when(from_nvd, F.from_json("item.text", NVD_DOCUMENT)).alias("nvd"))
-    is_cna = F.col("cna").isNotNull()
+        "vendor", "product", *PULL, F.col("item.id").alias("pair_id"), is_cna.alias("is_cna"),
+        F.when(is_cna, F.from_json("item.text", CNA_DOCUMENT)).alias("cna"),
+        F.when(~is_cna, F.from_json("item.text", NVD_DOCUMENT)).alias("nvd"))
     nvd_id = F.col("nvd.id") if compat else text.normalize_id(F.col("nvd.id"))
-    english = F.exists("nvd.descriptions", lambda d: d["lang"].like("en%"))
+    usable = F.col("is_cna") | F.exists("nvd.descriptions", lambda d: d["lang"].like("en%"))
     columns = cna_columns(F.col("cna"), compat) | nvd_columns(F.col("nvd"))
-    rows = (parsed.filter(is_cna | english)
-                  .select("vendor", "product", *PULL,
-                          F.when(is_cna, text.normalize_id(F.col("pair_id")))
-                           .otherwise(nvd_id).alias("cveId"),
-                          is_cna.alias("is_cna"),
-                          *[c.alias(n) for n, c in columns.items()]))
-    return rows.filter(F.col("is_cna") | (F.size("cvssData") > 0)) if compat else rows
+    rows = parsed.select(
+        "vendor", "product", *PULL,
+        F.when(F.col("is_cna"), text.normalize_id(F.col("pair_id"))).otherwise(nvd_id)
+         .alias("cveId"),
+        "is_cna", F.coalesce(usable, F.lit(False)).alias("usable"),
+        *[c.alias(n) for n, c in columns.items()])
+    if compat:
+        rows = rows.withColumn(
+            "usable", F.col("usable") & (F.col("is_cna") | (F.size("cvssData") > 0)))
+    return rows
 
 
 def collapse_pulls(documents: DataFrame) -> DataFrame:
@@ -120,17 +133,18 @@ def collapse_pulls(documents: DataFrame) -> DataFrame:
     Scalars come together from the newest document of a feed (greatest modification time, then
     the remaining fields as tie-breakers); scores and weaknesses are united.
     """
-    is_cna = F.col("is_cna")
+    cna, nvd = F.col("is_cna"), ~F.col("is_cna") & F.col("usable")
     newest_cna = F.struct("dateUpdated", "datePublished", "dateReserved", "datePublic",
                           "alt_description", "alt_capecData")
     newest_nvd = F.struct("lastModified", "published", "vulnStatus", "Descriptions")
-    return documents.groupBy(*KEYS, *PULL).agg(
-        F.max(F.when(is_cna, newest_cna)).alias("cna"),
-        F.max(F.when(~is_cna, newest_nvd)).alias("nvd"),
-        nested.collect_distinct_flat(F.when(is_cna, F.col("alt_cvssData"))).alias("cna_scores"),
-        nested.collect_distinct_flat(F.when(~is_cna, F.col("cvssData"))).alias("nvd_scores"),
+    collapsed = documents.groupBy(*KEYS, *PULL).agg(
+        F.max(F.when(cna, newest_cna)).alias("cna"),
+        F.max(F.when(nvd, newest_nvd)).alias("nvd"),
+        nested.collect_distinct_flat(F.when(cna, F.col("alt_cvssData"))).alias("cna_scores"),
+        nested.collect_distinct_flat(F.when(nvd, F.col("cvssData"))).alias("nvd_scores"),
         nested.collect_distinct_flat(
-            F.when(is_cna, F.col("alt_cweData")).otherwise(F.col("fkie_cweData"))).alias("cwe"))
+            F.when(cna, F.col("alt_cweData")).when(nvd, F.col("fkie_cweData"))).alias("cwe"))
+    return collapsed.filter("cna IS NOT NULL OR nvd IS NOT NULL")
 
 
 def merge_pulls(pulls: DataFrame) -> DataFrame:

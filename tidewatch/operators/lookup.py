@@ -35,9 +35,20 @@ def lookup_projection(current: DataFrame, extra: list[str] = ()) -> DataFrame:
         .select(*LOOKUP_COLUMNS, *extra))
 
 
+def risk_flags(df: DataFrame, vector: str = "vectorString", version: str = "cvssVersion",
+               compat: bool = False) -> DataFrame:
+    """Add eight booleans read from the vector.
+
+    Each step is a column of its own, so that Spark computes it once per row.
+    """
+    padded = df.withColumn("_padded", F.concat(F.lit("/"), F.col(vector), F.lit("/")))
+    flags = scoring.component_flags(F.col("_padded"), F.col(version), compat)
+    return (padded.withColumns(flags)
+                  .withColumn("is_fully_critical", scoring.fully_critical(F.col(version)))
+                  .drop("_padded"))
+
+
 def enrich(df: DataFrame, compat: bool = False) -> DataFrame:
     """Add the risk flags and the weighted score to lookup rows."""
-    flags = scoring.risk_flags(F.col("vectorString"), F.col("cvssVersion"), compat)
-    return (df.withColumns(flags)
-              .withColumn("weighted_score",
-                          scoring.weighted_score(F.col("cvssScore"), F.col("severity"))))
+    return risk_flags(df, compat=compat).withColumn(
+        "weighted_score", scoring.weighted_score(F.col("cvssScore"), F.col("severity")))

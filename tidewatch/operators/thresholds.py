@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import scoring
-
-LEVELS = list(scoring.LADDERS)
+STATS = ["total_count", "min_val", "max_val", "p25", "median", "p75",
+         "low_threshold", "med_threshold", "high_threshold"]
 
 
 def union_levels(views: dict[str, DataFrame]) -> DataFrame:
@@ -18,62 +17,79 @@ def union_levels(views: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, tagged)
 
 
-def threshold_stats(levels: DataFrame, approximate: bool = False) -> DataFrame:
-    """Count, range and quartiles per level; the cut points are rounded up.
+def _value_counts(levels: DataFrame) -> DataFrame:
+    return levels.groupBy("level", "threat_index").agg(F.count("*").alias("_n"))
 
-    The exact percentiles keep one counter per distinct index value. Indexes are sums of distinct
-    weights rounded to hundredths, so there are at most some 32,500 values per level; use
-    ``approximate`` for other data.
-    """
-    def quartile(p: float):
-        if approximate:
-            return F.percentile_approx("threat_index", p)
-        return F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY threat_index)")
-
-    stats = levels.groupBy("level").agg(
-        F.count("*").alias("total_count"),
-        F.min("threat_index").alias("min_val"),
-        F.max("threat_index").alias("max_val"),
-        *[quartile(p).alias(n) for n, p in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75))])
-    return stats.select(
-        "level", "total_count", "min_val", "max_val",
-        F.round("q1", 2).alias("p25"), F.round("q2", 2).alias("median"),
-        F.round("q3", 2).alias("p75"),
-        F.ceil("q1").cast("double").alias("low_threshold"),
-        F.ceil("q2").cast("double").alias("med_threshold"),
-        F.ceil("q3").cast("double").alias("high_threshold"))
 
+def _with_stats(counts: DataFrame) -> DataFrame:
+    """Value counts with the statistics of their level on every row.
 
-def bucket_counts(levels: DataFrame, thresholds: DataFrame) -> DataFrame:
-    """Rows per level between the cut points.
-
-    Equal values are counted first; the threshold side has one row per level, nine at most,
-    hence the broadcast.
+    Indexes are sums of distinct weights rounded to hundredths: with scores of one decimal a
+    level has at most some 32,500 distinct values, which bounds the windows.
     """
-    cuts = thresholds.select("level", "low_threshold", "med_threshold", "high_threshold")
-    counted = levels.groupBy("level", "threat_index").agg(F.count("*").alias("_n"))
+    level = Window.partitionBy("level")
+    upto = (level.orderBy("threat_index")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    known = F.when(F.col("threat_index").isNotNull(), F.col("_n")).otherwise(0)
+    ranked = counts.withColumns({
+        "total_count": F.sum("_n").over(level),
+        "min_val": F.min("threat_index").over(level),
+        "max_val": F.max("threat_index").over(level),
+        "_known": F.sum(known).over(level),
+        "_upto": F.sum(known).over(upto)})
+    # smallest value that at least the given share of the rows does not exceed
+    quartile = lambda p: F.min(
+        F.when(F.col("_upto") >= p * F.col("_known"), F.col("threat_index"))).over(level)
+    cut = {"q1": quartile(0.25), "q2": quartile(0.5), "q3": quartile(0.75)}
+    return ranked.withColumns(cut).withColumns({
+        "p25": F.round("q1", 2), "median": F.round("q2", 2), "p75": F.round("q3", 2),
+        "low_threshold": F.ceil("q1").cast("double"),
+        "med_threshold": F.ceil("q2").cast("double"),
+        "high_threshold": F.ceil("q3").cast("double")}).select(
+            "level", "threat_index", "_n", *STATS)
+
+
+def _buckets() -> list[Column]:
     index = F.col("threat_index")
     low, med, high = (F.col(f"{n}_threshold") for n in ("low", "med", "high"))
-    buckets = {
+    between = {
         "cnt_none": index == 0,
         "cnt_low": (index > 0) & (index <= low),
         "cnt_moderate": (index > low) & (index <= med),
         "cnt_high": (index > med) & (index <= high),
         "cnt_critical": index > high,
     }
-    return (counted.join(F.broadcast(cuts), "level").groupBy("level")
-            .agg(*[F.sum(F.when(c, F.col("_n")).otherwise(0)).alias(n)
-                   for n, c in buckets.items()]))
+    return [F.sum(F.when(c, F.col("_n")).otherwise(0)).alias(n) for n, c in between.items()]
+
 
+def threshold_stats(levels: DataFrame) -> DataFrame:
+    """Count, range and exact quartiles per level; the cut points are rounded up."""
+    stats = _with_stats(_value_counts(levels))
+    return stats.groupBy("level").agg(*[F.first(c).alias(c) for c in STATS])
 
-def threshold_table(levels: DataFrame, approximate: bool = False) -> DataFrame:
-    """Statistics, cut points, bucket sizes and readable ranges, ordered by level."""
-    stats = threshold_stats(levels, approximate)
+
+def bucket_counts(levels: DataFrame, thresholds: DataFrame) -> DataFrame:
+    """Rows per level between the cut points of a threshold table.
+
+    Equal values are counted first; the threshold side has one row per level, nine at most,
+    hence the broadcast.
+    """
+    cuts = thresholds.select("level", "low_threshold", "med_threshold", "high_threshold")
+    return (_value_counts(levels).join(F.broadcast(cuts), "level")
+            .groupBy("level").agg(*_buckets()))
+
+
+def threshold_table(levels: DataFrame) -> DataFrame:
+    """Statistics, cut points, bucket sizes and readable ranges, ordered by level.
+
+    One pass: the value counts carry their level's cut points and need no join back.
+    """
     whole = lambda c, add=0: (F.col(c).cast("bigint") + add).cast("string")
     upto = lambda name, lo, hi: F.concat(
         F.lit(f"{name} = "), whole(lo, 1), F.lit(" … "), whole(hi))
     return (
-        stats.join(F.broadcast(bucket_counts(levels, stats)), "level")
+        _with_stats(_value_counts(levels)).groupBy("level")
+        .agg(*[F.first(c).alias(c) for c in STATS], *_buckets())
         .select(
             "level", "total_count", "min_val", "p25", "median", "p75", "max_val",
             "low_threshold", "med_threshold", "high_threshold",
