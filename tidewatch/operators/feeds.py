@@ -152,18 +152,24 @@ def merge_pulls(pulls: DataFrame) -> DataFrame:
 
     Every CNA pull takes the key's NVD data, from whichever pull it came; keys that only NVD
     knows keep one row per pull. ``pulls`` is read twice: cut its lineage first on big input.
+
+    Only keys with several pulls have anything to share, so only those are joined back: few
+    enough to be broadcast as a rule. Grouping by one struct leaves the small side without the
+    join's partitioning; it gets a shuffle of its own, which lets AQE split a hot key.
     """
-    per_key = pulls.groupBy(*KEYS).agg(
+    shared = (pulls.groupBy(F.struct(*KEYS).alias("key")).agg(
+        F.count("*").alias("pulls"),
         F.max("nvd").alias("key_nvd"),
         nested.collect_distinct_flat(F.col("nvd_scores")).alias("key_scores"),
         nested.cwe_union(nested.collect_distinct_flat(F.col("cwe"))).alias("key_cwe"),
         F.max(F.col("cna").isNotNull()).alias("key_has_cna"))
+        .filter("pulls > 1").select("key.*", "key_nvd", "key_scores", "key_cwe", "key_has_cna"))
     has_cna = F.col("cna").isNotNull()
     nvd = F.when(has_cna, F.coalesce("key_nvd", "nvd")).otherwise(F.col("nvd"))
     nvd_scores = F.when(has_cna, F.coalesce("key_scores", "nvd_scores")).otherwise(
         F.col("nvd_scores"))
     return (
-        pulls.join(per_key, KEYS, "left")
+        pulls.join(shared, KEYS, "left")
         .filter(has_cna | ~F.coalesce("key_has_cna", F.lit(False)))
         .withColumn("nvd", nvd)
         .select(

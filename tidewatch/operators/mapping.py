@@ -63,14 +63,20 @@ def id_pairs(pairs: DataFrame, build_ts: Column) -> DataFrame:
                  .withColumn("build_ts", build_ts))
 
 
-def pack_id_sets(pairs: DataFrame, per_row: int = 10_000) -> DataFrame:
-    """Long form to sorted arrays of about ``per_row`` ids; big keys span several chunks."""
-    sizes = pairs.groupBy(*MAP_KEYS, "build_ts").agg(
-        F.ceil(F.count("*") / per_row).alias("_chunks"))
-    return (pairs.join(sizes, [*MAP_KEYS, "build_ts"])
-            .withColumn("chunk", F.pmod(F.xxhash64("cve"), F.col("_chunks")))
-            .groupBy(*MAP_KEYS, "build_ts", "chunk")
-            .agg(F.array_sort(F.collect_list("cve")).alias("cves")))
+def pack_id_sets(pairs: DataFrame, per_row: int = 1_000) -> DataFrame:
+    """Long form to sorted arrays of about ``per_row`` ids; big keys span several chunks.
+
+    Only big keys are joined back for their number of chunks, and the rows are partitioned by
+    chunk before anything is collected, so no task sees a big key as a whole.
+    """
+    keys = [*MAP_KEYS, "build_ts"]
+    big = (pairs.groupBy(F.struct(*keys).alias("key"))
+           .agg(F.ceil(F.count("*") / per_row).alias("_chunks"))
+           .filter("_chunks > 1").select("key.*", "_chunks"))
+    chunk = F.coalesce(F.pmod(F.xxhash64("cve"), F.col("_chunks")), F.lit(0))
+    return (pairs.join(big, keys, "left").withColumn("chunk", chunk)
+            .repartition(*keys, "chunk")
+            .groupBy(*keys, "chunk").agg(F.array_sort(F.collect_list("cve")).alias("cves")))
 
 
 def build_meta(pairs: DataFrame, collection: str, meta: DataFrame | None = None) -> DataFrame:
@@ -118,14 +124,15 @@ def snapshot(pairs: DataFrame, build: DataFrame) -> DataFrame:
 def snapshot_diff(new: DataFrame, old: DataFrame) -> DataFrame:
     """Keys whose id set differs, with the number of added and removed ids.
 
-    Each (key, id) is weighed +1 in the new and -1 in the old snapshot. The shuffle is by key
-    *and* id, so a key of any size spreads over all tasks, and keys that vanished are seen too.
+    Both snapshots are laid on top of each other and grouped by key *and* id: one shuffle, in
+    which a key of any size spreads over all tasks, and keys that vanished are seen too.
     """
-    weigh = lambda df, sign: df.select(*MAP_KEYS, "cve").distinct().withColumn("_w", F.lit(sign))
-    moved = (weigh(new, 1).unionByName(weigh(old, -1))
-             .groupBy(*MAP_KEYS, "cve").agg(F.sum("_w").alias("_w")).filter("_w != 0"))
-    return moved.groupBy(*MAP_KEYS).agg(F.count_if(F.col("_w") > 0).alias("added"),
-                                        F.count_if(F.col("_w") < 0).alias("removed"))
+    side = lambda df, is_new: df.select(*MAP_KEYS, "cve", F.lit(is_new).alias("_new"))
+    found = (side(new, True).unionByName(side(old, False)).groupBy(*MAP_KEYS, "cve")
+             .agg(F.max("_new").alias("_in_new"), F.min("_new").alias("_only_new")))
+    moved = found.filter(F.col("_in_new") == F.col("_only_new"))
+    return moved.groupBy(*MAP_KEYS).agg(F.count_if("_in_new").alias("added"),
+                                        F.count_if(~F.col("_in_new")).alias("removed"))
 
 
 def touching(pairs: DataFrame, changed: DataFrame, ident: str = "cve") -> DataFrame:
@@ -135,11 +142,15 @@ def touching(pairs: DataFrame, changed: DataFrame, ident: str = "cve") -> DataFr
 
 def metadata_changed(docs: DataFrame, baseline: Column, times: list[str],
                      ident: str = "cve") -> DataFrame:
-    """Ids with one of ``times`` after the baseline."""
+    """Ids with one of ``times`` after the baseline, as they come.
+
+    They are not de-duplicated: a semi-join does not mind, and AQE can split a hot id only where
+    this side is shuffled for the join itself.
+    """
     late = F.lit(False)
     for t in times:
         late = late | F.coalesce(F.col(t) > baseline, F.lit(False))
-    return docs.filter(late).select(ident).distinct()
+    return docs.filter(late).select(ident)
 
 
 def change_feed(changed_keys: list[DataFrame], run_ts: str) -> DataFrame:
