@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import dates, scoring, text
 from ..operators import feeds, lookup
 from ..sources import raw
-from ..sources.tables import spread
 from . import query
-from .tables import VECTOR_SQL, base_score, ntz, read, vector_string, version
+from .tables import VECTOR_SQL, base_score, lineitem, read, vector_string, version
 
 
 @query("date_parts", """
@@ -152,7 +151,7 @@ SELECT l_orderkey, l_linenumber, {", ".join(
 FROM vectors""")
 def vector_parse(spark, sf_dir):
     parts = scoring.cvss_vector(vector_string(), version())
-    return spread(read(spark, sf_dir, "lineitem")).select(
+    return lineitem(spark, sf_dir).select(
         "l_orderkey", "l_linenumber", *[parts[m].alias(f"{m.lower()}_value") for m in _METRICS])
 
 
@@ -167,7 +166,7 @@ SELECT *, is_network_based AND is_no_ui AND is_low_priv AND is_scope_changed
     AND (is_high_conf OR is_high_int) AS is_fully_critical, count(*) AS n
 FROM f GROUP BY ALL""")
 def risk_flags(spark, sf_dir):
-    rows = spread(read(spark, sf_dir, "lineitem")).select(
+    rows = lineitem(spark, sf_dir).select(
         vector_string().alias("v"), version().alias("ver"))
     flagged = lookup.risk_flags(rows, "v", "ver").drop("v", "ver")
     return flagged.groupBy(*flagged.columns).agg(F.count("*").alias("n"))
@@ -191,7 +190,7 @@ def current_rows(spark, sf_dir):
               F.lit(None), F.lit(None)))
     weakness = lambda ident, label: F.struct(ident.alias("cweId"), label.alias("cweDescription"))
     part = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
-    rows = spread(read(spark, sf_dir, "lineitem"))
+    rows = lineitem(spark, sf_dir)
     rows = rows.join(part, rows.l_partkey == part.p_partkey)
     shifted = F.expr("l_shipdate + make_dt_interval(0, 0, 0, l_linenumber * 0.25)")
     return rows.select(

@@ -92,7 +92,7 @@ def raw_records(spark, sf_dir):
                                  ).otherwise(none)
     pulls = F.array(pull("2025-05-03T10:00:00.000001+00:00", cna, nvd_in(1)),
                     pull("2025-05-03T11:00:00+00:00", none, nvd_in(0)))
-    return (spread(read(spark, sf_dir, "orders"))
+    return (spread(read(spark, sf_dir, "orders"), "o_orderkey")
             .select(F.col("o_orderpriority").alias("vendor"), F.col("o_orderstatus").alias("product"),
                     F.explode(pulls).alias("p"))
             .select("vendor", "product", "p.*"))

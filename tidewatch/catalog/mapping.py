@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import mapping as ops
-from ..sources.tables import spread
 from . import query
-from .tables import ntz, read
+from .tables import lineitem, ntz, read
 
 _RUN = "2025-05-03T10:11:12+00:00"
 
@@ -15,7 +14,7 @@ _RUN = "2025-05-03T10:11:12+00:00"
 def raw_pairs(spark, sf_dir):
     """(vendor, product, cve) with spellings that clean to one key, and some unnamed vendors."""
     part = read(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    rows = spread(read(spark, sf_dir, "lineitem"))
+    rows = lineitem(spark, sf_dir)
     line = F.col("l_linenumber")
     vendor = (F.when(line == 1, F.concat(F.lit(" "), F.upper("p_brand"), F.lit("\t")))
               .when(line == 2, "N/A").when(line == 3, "*** n/a ***").otherwise(F.col("p_brand")))

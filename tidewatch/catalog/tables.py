@@ -58,24 +58,42 @@ def version() -> Column:
     return F.when(F.col("l_linenumber") >= 6, "2.0").otherwise("3.1")
 
 
-def findings(spark: SparkSession, sf_dir: str, keyed: bool = True) -> DataFrame:
-    """Lookup-like rows: one finding per line item, keyed by its part.
+def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(read(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
 
-    Without ``keyed`` there is no vendor and product, and hence no join.
-    """
-    rows = spread(read(spark, sf_dir, "lineitem"))
+
+def _findings(spark: SparkSession, sf_dir: str, keyed: bool, **columns: Column) -> DataFrame:
+    """One finding per line item, keyed by its part; no join where the keys are not wanted."""
+    rows = lineitem(spark, sf_dir)
     keys = []
     if keyed:
         part = read(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
         rows = rows.join(part, rows.l_partkey == part.p_partkey)
         keys = [F.col("p_brand").alias("vendor"), F.col("p_type").alias("product")]
-    score = base_score()
-    return rows.select(
+    scored = rows.select(
         *keys, F.col("l_orderkey").alias("cveId"), F.col("l_shipdate").alias("datePublished"),
-        F.year("l_shipdate").alias("year_published"),
-        F.to_date("l_shipdate").alias("date_published"),
-        score.alias("cvssScore"), scoring.severity(score, missing="").alias("severity"),
-        version().alias("cvssVersion"), vector_string().alias("vectorString"))
+        base_score().alias("cvssScore"), *[c.alias(n) for n, c in columns.items()])
+    return scored.withColumn("severity", scoring.severity(F.col("cvssScore"), missing=""))
+
+
+def findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lookup-like rows with a vector text."""
+    return _findings(spark, sf_dir, True, cvssVersion=version(), vectorString=vector_string(),
+                     year_published=F.year("l_shipdate"), date_published=F.to_date("l_shipdate"))
+
+
+def flagged_findings(spark: SparkSession, sf_dir: str, keyed: bool = True) -> DataFrame:
+    """The same rows with the flags that their vectors stand for, and their weight."""
+    v3, seen = F.col("l_linenumber") < 6, F.col("l_linestatus") == "F"
+    high = v3 & ((F.col("l_quantity") >= 35) | (F.col("l_suppkey") % 2 == 0))
+    rows = _findings(
+        spark, sf_dir, keyed, is_network_based=F.col("l_returnflag") == "R", is_no_ui=seen,
+        is_low_priv=F.when(v3, F.col("l_discount") <= 0.05).otherwise(seen),
+        is_scope_changed=v3 & (F.col("l_tax") <= 0.04), is_high=high)
+    return rows.withColumns({
+        "is_fully_critical": F.col("is_network_based") & F.col("is_no_ui") & F.col("is_low_priv")
+        & F.col("is_scope_changed") & F.col("is_high"),
+        "weighted_score": scoring.weighted_score(F.col("cvssScore"), F.col("severity"))})
 
 
 def findings_sql(keyed: bool = True) -> str:

@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from ..operators.rollups import ALL_VIEWS, LEVEL_KEYS, MEASURES
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a small input out to all cores.
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Deal the rows of a small input out to all cores, by a hash of ``columns`` where given.
 
     Only where the scan has fewer splits than there are cores, such as a file of one row group;
     a large table has many more and passes unchanged, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df
 
 
 def compact_json(df: DataFrame, path: str, shards: int, compression: str | None = None,
