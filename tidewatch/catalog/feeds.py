@@ -87,7 +87,7 @@ def raw_records(spark, sf_dir):
     pull = lambda at, cna, nvd: F.struct(
         F.lit("2025-05-03").alias("ingestionDate"), F.lit(at).alias("ingestionTimestamp"),
         cna.alias("cvelistv5"), nvd.alias("fkie_nvd"))
-    cna = F.when(key % 3 != 0, F.array(cna_pair, cna_pair)).otherwise(none)
+    cna = F.when(key % 3 != 0, F.array_repeat(cna_pair, 2)).otherwise(none)
     nvd_in = lambda rest: F.when((key % 5 != 0) & (key % 2 == rest), F.array(nvd_pair)
                                  ).otherwise(none)
     pulls = F.array(pull("2025-05-03T10:00:00.000001+00:00", cna, nvd_in(1)),
