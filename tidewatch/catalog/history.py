@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import history, joins
 from ..schemas import KEYS
+from ..session import cut_lineage
 from . import query
 from .tables import ntz, read
 
@@ -97,7 +98,7 @@ def scd2_insert(spark, sf_dir):
 @query("scd2_merge", f"WITH {_TARGET}, {_BATCH}, {_expired(_LATER)} {_INSERTED}")
 def scd2_merge(spark, sf_dir):
     return history.scd2_merge(target_rows(spark, sf_dir), batch_rows(spark, sf_dir),
-                              tie_breakers=["o_orderkey"])
+                              tie_breakers=["o_orderkey"], cut=cut_lineage)
 
 
 @query("scd2_current", f"""WITH {_TARGET}
@@ -118,7 +119,7 @@ def scd2_hash(spark, sf_dir):
     hashed = lambda df: df.withColumn(
         "row_hash", history.row_hash(["vendor", "score", "lastModified"]))
     return history.scd2_by_hash(hashed(target_rows(spark, sf_dir)), hashed(batch_rows(spark, sf_dir)),
-                                KEYS, ["lastModified", "o_orderkey"])
+                                KEYS, ["lastModified", "o_orderkey"], cut=cut_lineage)
 
 
 @query("merge_upsert", f"""WITH {_TARGET}, {_BATCH}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import scoring
 from ..operators import thresholds
 from ..operators import rollups as ops
+from ..session import cut_lineage
 from . import query
 from .tables import findings_sql, flagged_findings, rating_sql, read
 
@@ -117,8 +118,8 @@ def levels(spark, sf_dir):
 
 @query("union_levels", f"WITH {LEVELS_CTE} SELECT level, threat_index FROM levels")
 def union_levels(spark, sf_dir):
-    per_level = flagged_findings(spark, sf_dir)
-    return thresholds.union_levels({v: ops.rollup(per_level, v) for v in ops.ALL_VIEWS})
+    tagged = cut_lineage(ops.rollups(flagged_findings(spark, sf_dir)), "rollups")
+    return thresholds.union_levels({v: ops.split_view(tagged, v) for v in ops.ALL_VIEWS})
 
 
 @query("threshold_stats", f"WITH {STATS_CTE} SELECT * FROM stats")
