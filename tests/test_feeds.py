@@ -1,6 +1,7 @@
 import gzip
 import json
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -240,3 +241,15 @@ def test_latest_partition_and_table(spark, frame, tmp_path):
     for name in ("stage_2025_01_01", "stage_2025_02_01", "stage_other"):
         tables.create_table_as(df, name)
     assert raw.latest_table(spark, "stage") == "stage_2025_02_01"
+
+
+def test_latest_day_is_staged(spark, tmp_path):
+    from tidewatch.plans import staging
+    for day, vendor in (("2025-05-02", "old"), ("2025-05-03", "new"), ("notes", "other")):
+        (tmp_path / day).mkdir()
+        (tmp_path / day / "a.json").write_text(
+            json.dumps(record(vendor=vendor, cvelist=[("CVE-1", cna(score=5.0))])) + "\n")
+    assert [r.vendor for r in staging.stage_latest(spark, str(tmp_path), "daily").collect()] == ["new"]
+    assert raw.latest_table(spark, "daily") == "daily_2025_05_03"
+    with pytest.raises(LookupError):
+        raw.latest_folder(spark, str(tmp_path / "notes"))

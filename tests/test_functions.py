@@ -173,6 +173,7 @@ def test_language_filter_and_labels(value):
     d = doc(body, NVD_DOCUMENT)["descriptions"]
     assert value(nested.first_english(d)) == "a"
     assert value(F.size(nested.english_only(d))) == 2
+    assert value(F.size(nested.english_only(d, "en"))) == 1
     labels = F.from_json(F.lit('[{"i":"1","t":" "},{"i":"2","t":"two"},{"i":"3"}]'),
                          "array<struct<i:string,t:string>>")
     assert value(nested.label_list(labels, "t", "i")) == "1, two, 3"

@@ -156,13 +156,13 @@ def baseline_build(spark, sf_dir):
 
 
 @query("batch_ids", """
-WITH n AS (SELECT user_id % 16 AS bucket, event_id,
-    (row_number() OVER (PARTITION BY user_id % 16 ORDER BY event_id) - 1) // 10 AS batch FROM events)
+WITH n AS (SELECT event_id // 500 AS bucket, event_id,
+    (row_number() OVER (PARTITION BY event_id // 500 ORDER BY event_id) - 1) // 10 AS batch FROM events)
 SELECT bucket, batch, count(*) AS n, min(event_id) AS first_id, max(event_id) AS last_id
 FROM n GROUP BY bucket, batch""")
 def batch_ids(spark, sf_dir):
-    rows = read(spark, sf_dir, "events").select("event_id", "user_id")
-    batched = ops.batches_of(rows, 10, F.pmod("user_id", F.lit(16)), ["event_id"])
+    rows = read(spark, sf_dir, "events").select("event_id")
+    batched = ops.batches_of(rows, 10, F.floor(F.col("event_id") / 500), ["event_id"])
     return batched.groupBy("bucket", "batch").agg(
         F.count("*").alias("n"), F.min("event_id").alias("first_id"),
         F.max("event_id").alias("last_id"))

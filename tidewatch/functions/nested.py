@@ -19,8 +19,9 @@ def _is_english(x: Column) -> Column:
     return x["lang"].like("en%")
 
 
-def english_only(arr: Column) -> Column:
-    return F.filter(arr, _is_english)
+def english_only(arr: Column, pattern: str = "en%") -> Column:
+    """Entries in any English; ``pattern="en"`` keeps only those without a region."""
+    return F.filter(arr, lambda x: x["lang"].like(pattern))
 
 
 def first_english(arr: Column) -> Column:

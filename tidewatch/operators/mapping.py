@@ -164,8 +164,8 @@ def change_feed(changed_keys: list[DataFrame], run_ts: str) -> DataFrame:
 def batches_of(df: DataFrame, size: int, bucket: Column, order: list[str]) -> DataFrame:
     """Number rows into batches of at most ``size`` within each bucket.
 
-    ``bucket`` spreads the rows, e.g. a hash of their key modulo some multiple of the cores; a
-    global numbering would put all rows into one task.
+    ``bucket`` spreads the rows and must stay small as the data grows, such as a range of unique
+    ids; a global numbering would put all rows into one task, and a popular key its rows.
     """
     spread = df.withColumn("bucket", bucket)
     rank = F.row_number().over(Window.partitionBy("bucket").orderBy(*order))

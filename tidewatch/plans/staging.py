@@ -22,6 +22,13 @@ def stage_day(spark: SparkSession, path: str, table: str, compat: bool = False)
     return spark.table(table)
 
 
+def stage_latest(spark: SparkSession, root: str, prefix: str, compat: bool = False) -> DataFrame:
+    """Stage the newest day below ``root`` into the table ``<prefix>_yyyy_MM_dd``."""
+    folder = raw_source.latest_folder(spark, root)
+    day = folder.rsplit("/", 1)[-1].replace("-", "_")
+    return stage_day(spark, folder, f"{prefix}_{day}", compat)
+
+
 def check_quality(spark: SparkSession, table: str, history: str) -> DataFrame:
     row = quality.null_profile(spark.table(table), table, F.current_timestamp())
     tables.append_table(row, history, ["dqcheckDate"])

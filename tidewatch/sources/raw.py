@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,17 @@ def latest_partition(df: DataFrame, column: str = "ingestionDate") -> DataFrame:
     return df.filter(F.col(column) == df.agg(F.max(column)).scalar())
 
 
+def latest_folder(spark: SparkSession, root: str, pattern: str = r"\d{4}-\d{2}-\d{2}") -> str:
+    """Path of the newest dated folder directly below ``root``, by name."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    entries = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    dated = [e.getPath().getName() for e in entries
+             if e.isDirectory() and re.fullmatch(pattern, e.getPath().getName())]
+    if not dated:
+        raise LookupError(f"no dated folder below {root}")
+    return f"{root.rstrip('/')}/{max(dated)}"
+
+
 def latest_table(spark: SparkSession, prefix: str, database: str = "default") -> str:
     """Newest table named ``<prefix>_yyyy_MM_dd``."""
     dated = (spark.sql(f"SHOW TABLES IN {database}")

@@ -14,6 +14,7 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
     Only where the scan has fewer splits than there are cores, such as a file of one row group;
     a large table has many more and passes unchanged, without a shuffle.
     """
+    # getNumPartitions only plans the scan; no job runs and no row leaves the JVM
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df
 
