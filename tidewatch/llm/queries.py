@@ -6,13 +6,34 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, simhash
+from . import bpe, decontaminate, pii, quality, simhash
 from .common import table
 
 #: Folder of the public vocabulary files on every machine.
 TOKENIZERS = "/opt/tokenizers"
 
 
+def trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that a labeller found good."""
+    return table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    field = pii.train(pii.sample_labels(spark))
+    return pii.digests(table(spark, sf_dir, "documents"), field)
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"), trusted(spark, sf_dir))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                         "n_repeat_words", "base_failed", "kept")
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"),
+                               table(spark, sf_dir, "benchmark"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, max_bits=3)
 
@@ -22,6 +43,9 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_pii": op3_pii,
+    "op4_quality": op4_quality,
+    "op5_decontamination": op5_decontamination,
     "op8_simhash": op8_simhash,
     "op10_bpe": op10_bpe,
 }
