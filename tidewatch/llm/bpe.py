@@ -15,11 +15,10 @@ whole text at once.
 
 from __future__ import annotations
 
-import hashlib
 import json
 from collections import OrderedDict
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -55,15 +54,20 @@ class Vocabulary:
         alphabet = _byte_alphabet()
         ranks = {bytes(alphabet[c] for c in token): i
                  for token, i in spec["model"]["vocab"].items()}
+        self.path = path
         self.special = {t["content"].encode(): t["id"] for t in spec.get("added_tokens", [])
                         if t["content"] not in spec["model"]["vocab"]}
-        self.engine = tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks,
-                                        special_tokens={})
-        size = 1 + max([*ranks.values(), *self.special.values()])
-        self.pieces = [b""] * size
+        self.pieces = [b""] * (1 + max([*ranks.values(), *self.special.values()]))
         for token, i in [*ranks.items(), *self.special.items()]:
             self.pieces[i] = token
 
+    @cached_property
+    def engine(self) -> tiktoken.Encoding:
+        special = set(self.special.values())
+        ranks = {token: i for i, token in enumerate(self.pieces) if token and i not in special}
+        return tiktoken.Encoding(self.path, pat_str=PATTERN, mergeable_ranks=ranks,
+                                 special_tokens={})
+
     def encode(self, text: bytes) -> list[int]:
         return self.engine.encode_ordinary(text.decode("utf-8")) if text else []
 
@@ -159,12 +163,12 @@ class Encoder:
         return np.concatenate(parts) if parts else np.empty(0, dtype="<u4")
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
+def encode(docs: DataFrame, path: str, packed: bool = False) -> DataFrame:
     """``docs`` with ``ids`` (array of int) of each whole text, and nothing else changed.
 
-    The ids are those of the vocabulary's own library on the whole text. Defined cases: a null
-    or empty text has no ids; repeated rows are kept; an empty table gives no rows; columns
-    already named ``ids`` are replaced.
+    The ids are those of the vocabulary's own library on the whole text; ``packed`` gives them as
+    binary, four bytes each, the lowest first. Defined cases: a null or empty text has no ids;
+    repeated rows are kept; an empty table gives no rows; a column already named ``ids`` is replaced.
     """
     kept = docs.select([F.col(f"`{c}`") for c in docs.columns if c != "ids"])
     names = kept.columns
@@ -174,25 +178,33 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             found = [encoder.encode((x.as_py() or b""))
                      for x in batch.column("text").cast(pa.large_binary())]
-            offsets = np.zeros(len(found) + 1, dtype=np.int32)
-            np.cumsum([len(x) for x in found], out=offsets[1:])
-            values = np.concatenate(found) if found else np.empty(0, dtype="<u4")
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int32)))
+            if packed:
+                ids = pa.array([x.tobytes() for x in found], pa.binary())
+            else:
+                offsets = np.zeros(len(found) + 1, dtype=np.int32)
+                np.cumsum([len(x) for x in found], out=offsets[1:])
+                values = np.concatenate(found) if found else np.empty(0, dtype="<u4")
+                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int32)))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*names, "ids"])
 
-    return kept.mapInArrow(run, with_field(kept, "ids", T.ArrayType(T.IntegerType())))
+    kind = T.BinaryType() if packed else T.ArrayType(T.IntegerType())
+    return kept.mapInArrow(run, with_field(kept, "ids", kind))
 
 
 def decode(encoded: DataFrame, path: str, name: str = "decoded") -> DataFrame:
-    """``encoded`` with the text of its ``ids``; special tokens are written out, null ids are empty."""
+    """``encoded`` with the text of its ``ids``, packed or not; special tokens are written out,
+    null ids are an empty text."""
     names = encoded.columns
 
+    def numbers(ids: pa.Scalar) -> np.ndarray:
+        if pa.types.is_binary(ids.type) or pa.types.is_large_binary(ids.type):
+            return np.frombuffer(ids.as_py(), dtype="<u4")
+        return ids.values.to_numpy(zero_copy_only=False)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path)
         for batch in batches:
-            ids = batch.column("ids")
-            texts = [words.decode(x.values.to_numpy(zero_copy_only=False)) if x.is_valid else ""
-                     for x in ids]
+            texts = [words.decode(numbers(x)) if x.is_valid else "" for x in batch.column("ids")]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
                                              [*names, name])
 
@@ -201,18 +213,7 @@ def decode(encoded: DataFrame, path: str, name: str = "decoded") -> DataFrame:
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of encoding and decoding each whole text."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = [x.values.to_numpy(zero_copy_only=False) for x in batch.column("ids")]
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"),
-                pa.array([len(x) for x in ids], pa.int64()),
-                pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in ids],
-                         pa.string()),
-                pa.array([hashlib.sha256((x.as_py() or "").encode()).hexdigest()
-                          for x in batch.column("decoded")], pa.string()),
-            ], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    both = decode(encode(documents(docs), path), path).select("doc_id", "ids", "decoded")
-    return both.mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    both = decode(encode(documents(docs), path, packed=True).drop("text"), path)
+    return both.select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
