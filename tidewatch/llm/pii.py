@@ -405,9 +405,11 @@ def digests(docs: DataFrame, field: Field) -> DataFrame:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(
             ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
+    def of_kind(kind):
+        return F.filter(base, lambda s: s["kind"] == kind)
+
     base = F.filter("spans", lambda s: s["by_pattern"])
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}")
-              for k in KINDS]
+    counts = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in KINDS]
     return find(docs, field).select("doc_id", *counts, F.sha2(joined(base), 256)
                                     .alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
