@@ -32,8 +32,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their token ids and the text decoded from them."""
-    path = f"{TOKENIZERS}/byte_bpe_50k.json"
-    return bpe.decode(bpe.encode(docs, path).drop("text"), path, "text")
+    return bpe.encode(docs, f"{TOKENIZERS}/byte_bpe_50k.json", decoded="text")
 
 
 STAGES = [

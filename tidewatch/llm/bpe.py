@@ -163,15 +163,19 @@ class Encoder:
         return np.concatenate(parts) if parts else np.empty(0, dtype="<u4")
 
 
-def encode(docs: DataFrame, path: str, packed: bool = False) -> DataFrame:
+def encode(docs: DataFrame, path: str, packed: bool = False, decoded: str | None = None
+           ) -> DataFrame:
     """``docs`` with ``ids`` (array of int) of each whole text, and nothing else changed.
 
     The ids are those of the vocabulary's own library on the whole text; ``packed`` gives them as
-    binary, four bytes each, the lowest first. Defined cases: a null or empty text has no ids;
-    repeated rows are kept; an empty table gives no rows; a column already named ``ids`` is replaced.
+    binary, four bytes each, the lowest first. With ``decoded`` a column of that name holds the text
+    that ``decode`` makes of them. Defined cases: a null or empty text has no ids; repeated rows
+    are kept; an empty table gives no rows; columns already named so are replaced.
     """
-    kept = docs.select([F.col(f"`{c}`") for c in docs.columns if c != "ids"])
-    names = kept.columns
+    added = [c for c in ("ids", decoded) if c]
+    names = [c for c in docs.columns if c == "text" or c not in added]
+    kept = docs.select([F.col(f"`{c}`") for c in names])
+    rest = [c for c in names if c not in added]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
@@ -185,10 +189,14 @@ def encode(docs: DataFrame, path: str, packed: bool = False) -> DataFrame:
                 np.cumsum([len(x) for x in found], out=offsets[1:])
                 values = np.concatenate(found) if found else np.empty(0, dtype="<u4")
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int32)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*names, "ids"])
+            columns = [*[batch.column(c) for c in rest], ids]
+            if decoded:
+                columns.append(pa.array([encoder.vocabulary.decode(x) for x in found], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, [*rest, *added])
 
     kind = T.BinaryType() if packed else T.ArrayType(T.IntegerType())
-    return kept.mapInArrow(run, with_field(kept, "ids", kind))
+    schema = with_field(kept.select([F.col(f"`{c}`") for c in rest]), "ids", kind)
+    return kept.mapInArrow(run, schema.add(decoded, T.StringType()) if decoded else schema)
 
 
 def decode(encoded: DataFrame, path: str, name: str = "decoded") -> DataFrame:
@@ -213,7 +221,7 @@ def decode(encoded: DataFrame, path: str, name: str = "decoded") -> DataFrame:
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of encoding and decoding each whole text."""
-    both = decode(encode(documents(docs), path, packed=True).drop("text"), path)
+    both = encode(documents(docs), path, packed=True, decoded="decoded")
     return both.select(
         "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
