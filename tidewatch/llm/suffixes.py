@@ -38,7 +38,7 @@ BEHIND = LENGTH - AHEAD
 BASE = 0x9E3779B97F4A7C15 | 1
 MIX = np.uint64(0xD6E8FEB86659FD93)
 #: Rows of runs that a task holds before it sends them on.
-HELD_ROWS = 1 << 20
+HELD_ROWS = 1 << 19
 #: A null doc_id comes after all others.
 NO_ID = (1 << 63) - 1
 
@@ -246,7 +246,7 @@ def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                       "doc_id": doc, "start": start, "count": end - start, "anchor_at": start * 0},
                      np.ones(len(doc), bool))
 
-    for ids, data, offsets in byte_batches(batches):
+    for ids, data, offsets in byte_batches(batches, 1 << 20):
         found = runs(data, offsets)
         keys = np.array([NO_ID if i is None else i for i in ids], dtype=np.int64)
         found["doc_id"] = keys[found.pop("text")]
