@@ -137,6 +137,10 @@ def sort_suffixes(data: np.ndarray, hashes: Hashes, starts: np.ndarray, bucket:
             low[going] = np.where(before, middle + 1, low[going])
             high[going] = np.where(before, high[going], middle)
         place = pair + rank % width + (low - begin)
+        taken = np.zeros(len(order), dtype=bool)
+        taken[place] = True
+        if not taken[live].all():  # collisions made the comparison contradict itself
+            place[np.argsort(place, kind="stable")] = live
         moved = order.copy()
         moved[place] = order[live]
         order = moved
