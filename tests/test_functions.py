@@ -22,7 +22,7 @@ def test_names(value):
     assert value(text.safe_name(F.lit(".-_a b/c"))) == "a_b_c"
     assert value(text.safe_name(F.lit("..."))) == "file"
     assert value(text.safe_path(F.lit("x y/.z//q"))) == "x_y/z/file/q"
-    assert len(value(text.message_id(F.lit("v" * 60), F.lit("p p" * 20)))) == 80
+    assert len(value(text.message_label(F.lit("v" * 60), F.lit("p p" * 20)))) == 80
 
 
 def test_clean_key(value):

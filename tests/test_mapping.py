@@ -83,7 +83,7 @@ def test_change_feed(frame):
     assert [r.cve for r in changed.collect()] == ["1"]
     touched = mapping.touching(new, changed)
     feed = mapping.change_feed([mapping.snapshot_diff(new, old), touched, touched], "T").collect()
-    got = {r.message_id: json.loads(r.body) for r in feed}
+    got = {r.label: json.loads(r.body) for r in feed}
     # Q12: touched keys come with their names
     assert got == {"a_p": {"vendor": "a", "product": "p", "ingestionTimestamp": "T"},
                    "b_p_q": {"vendor": "b", "product": "p q", "ingestionTimestamp": "T"}}

@@ -100,7 +100,7 @@ def safe_name(spark, sf_dir):
         "page_id", text.safe_name(F.col("url")).alias("name"),
         F.md5(text.safe_name(F.concat(F.lit(".."), "html"))).alias("long_name"),
         text.safe_path(F.col("url")).alias("path"),
-        text.message_id(F.col("url"), F.col("html")).alias("message_id"))
+        text.message_label(F.col("url"), F.col("html")).alias("message_id"))
 
 
 @query("clean_key", """

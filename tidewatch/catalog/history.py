@@ -163,8 +163,8 @@ def anti_delete(spark, sf_dir):
 
 
 _SIDES = """
-l AS (SELECT c_custkey AS id, c_name AS name, CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_mktsegment END AS score,
-    DATE '1990-01-01' + c_nationkey AS published FROM customer WHERE c_acctbal > 0),
+l AS (SELECT c_custkey + 50 AS id, c_name AS name, CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_mktsegment END AS score,
+    DATE '1990-01-01' + c_nationkey AS published FROM customer),
 r AS (SELECT o_custkey AS id, max(o_orderpriority) AS score, CAST(min(o_orderdate) AS DATE) AS published
   FROM orders GROUP BY o_custkey)"""
 
@@ -176,8 +176,9 @@ FROM l FULL JOIN r USING (id)""")
 def full_outer_merge(spark, sf_dir):
     filled = lambda c, blank: F.when(F.col(c) == blank, F.array().cast("array<string>")
                                      ).otherwise(F.array(c))
-    left = read(spark, sf_dir, "customer").filter("c_acctbal > 0").select(
-        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+    # keys are shifted, so that each side has some that the other lacks
+    left = read(spark, sf_dir, "customer").select(
+        (F.col("c_custkey") + 50).alias("id"), F.col("c_name").alias("name"),
         filled("c_mktsegment", "BUILDING").alias("scores"),
         F.date_add(F.lit("1990-01-01").cast("date"), F.col("c_nationkey")).alias("published"))
     right = (read(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("id"))
@@ -206,10 +207,10 @@ def left_join_agg(spark, sf_dir):
 @query("prefer_source", """
 SELECT doc_id, CASE WHEN d.doc_id IS NOT NULL THEN lang ELSE 'label' END AS kind,
   CASE WHEN d.doc_id IS NOT NULL THEN n_chars ELSE quality END AS amount
-FROM (SELECT * FROM documents WHERE lang = 'en') d FULL JOIN labels USING (doc_id)""")
+FROM (SELECT * REPLACE (doc_id + 100 AS doc_id) FROM documents) d FULL JOIN labels USING (doc_id)""")
 def prefer_source(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents").filter("lang = 'en'").select(
-        "doc_id", F.col("lang").alias("kind"), F.col("n_chars").alias("amount"))
+    docs = read(spark, sf_dir, "documents").select(
+        (F.col("doc_id") + 100).alias("doc_id"), F.col("lang").alias("kind"), F.col("n_chars").alias("amount"))
     labels = read(spark, sf_dir, "labels").select(
         "doc_id", F.lit("label").alias("kind"), F.col("quality").cast("bigint").alias("amount"))
     return joins.first_available(docs, labels, "doc_id")

@@ -46,20 +46,24 @@ def new_side(spark, sf_dir, feed=None):
     return _side(spark, sf_dir, feed, F.col("l_shipdate") >= ntz("1995-03-01"), "2025-05-03")
 
 
+def all_pairs(spark, sf_dir):
+    return _side(spark, sf_dir, None, F.lit(True), "2025-05-03")
+
+
 @query("id_sets", f"""WITH {_PAIRS}
 SELECT vendor, product, count(DISTINCT cve) AS n, min(cve) AS first_cve, max(cve) AS last_cve,
-  CAST(sum(DISTINCT cve) AS BIGINT) AS ids FROM pairs WHERE in_new GROUP BY vendor, product""")
+  CAST(sum(DISTINCT cve) AS BIGINT) AS ids FROM pairs GROUP BY vendor, product""")
 def id_sets(spark, sf_dir):
-    return new_side(spark, sf_dir).groupBy("vendor", "product").agg(
+    return all_pairs(spark, sf_dir).groupBy("vendor", "product").agg(
         F.count("*").alias("n"), F.min("cve").alias("first_cve"), F.max("cve").alias("last_cve"),
         F.sum("cve").alias("ids"))
 
 
 @query("id_set_chunks", f"""WITH {_PAIRS}
 SELECT vendor, product, count(DISTINCT cve) AS n, CAST(sum(DISTINCT cve) AS BIGINT) AS ids
-FROM pairs WHERE in_new GROUP BY vendor, product""")
+FROM pairs GROUP BY vendor, product""")
 def id_set_chunks(spark, sf_dir):
-    packed = ops.pack_id_sets(new_side(spark, sf_dir), per_row=8)
+    packed = ops.pack_id_sets(all_pairs(spark, sf_dir), per_row=8)
     total = F.aggregate("cves", F.lit(0).cast("bigint"), lambda a, x: a + x)
     return packed.groupBy("vendor", "product").agg(
         F.sum(F.size("cves")).alias("n"), F.sum(total).alias("ids"))
@@ -95,16 +99,17 @@ def changed_ids(spark, sf_dir):
 
 
 @query("semi_touching", f"""WITH {_PAIRS}
-SELECT DISTINCT vendor, product FROM pairs WHERE in_new AND cve IN ({_CHANGED})""")
+SELECT DISTINCT vendor, product FROM pairs WHERE cve IN ({_CHANGED})""")
 def semi_touching(spark, sf_dir):
-    return ops.touching(new_side(spark, sf_dir), changed_ids(spark, sf_dir))
+    return ops.touching(all_pairs(spark, sf_dir), changed_ids(spark, sf_dir))
 
 
 @query("change_feed", f"""WITH {_PAIRS}, keys AS (
   SELECT vendor, product FROM ({_DIFF.format(where='WHERE nvd')})
   UNION SELECT vendor, product FROM ({_DIFF.format(where='WHERE NOT nvd')})
   UNION SELECT vendor, product FROM pairs WHERE in_new AND cve IN ({_CHANGED}))
-SELECT regexp_replace(vendor || '_' || product, '[^A-Za-z0-9_-]', '_', 'g') AS message_id,
+SELECT sha256('["' || vendor || '","' || product || '","{_RUN}"]') AS message_id,
+  regexp_replace(vendor || '_' || product, '[^A-Za-z0-9_-]', '_', 'g') AS label,
   '{{"vendor":"' || vendor || '","product":"' || product || '","ingestionTimestamp":"{_RUN}"}}' AS body
 FROM keys""")
 def change_feed(spark, sf_dir):
@@ -168,15 +173,19 @@ def batch_ids(spark, sf_dir):
         F.max("event_id").alias("last_id"))
 
 
-@query("hierarchy_sets", """
+@query("hierarchy_sets", r"""
 WITH c AS (SELECT CASE p_size % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'o' ELSE 'h' END AS kind,
-    lower(p_brand) AS vendor, lower(p_name) AS product, p_size || ':*:*' AS suffix FROM part)
+    CASE WHEN p_size % 4 = 0 THEN 'x\:' ELSE '' END || lower(p_brand) AS vendor,
+    lower(p_name) || CASE WHEN p_size % 5 = 0 THEN '\:y' ELSE '' END AS product,
+    p_size || ':*:*' AS suffix FROM part)
 SELECT 'prefix:cpe' AS set_key, kind AS member FROM c UNION SELECT kind, vendor FROM c
 UNION SELECT 'v:' || vendor, product FROM c UNION SELECT 'p:' || product, suffix FROM c""")
 def hierarchy_sets(spark, sf_dir):
     kind = F.element_at(F.array(F.lit("a"), F.lit("o"), F.lit("h")), F.col("p_size") % 3 + 1)
     names = read(spark, sf_dir, "part").select(F.concat_ws(
-        ":", F.lit("cpe:2.3"), kind, F.lower("p_brand"), F.lower("p_name"),
+        ":", F.lit("cpe:2.3"), kind,
+        F.concat(F.when(F.col("p_size") % 4 == 0, "x\\:").otherwise(""), F.lower("p_brand")),
+        F.concat(F.lower("p_name"), F.when(F.col("p_size") % 5 == 0, "\\:y").otherwise("")),
         F.col("p_size").cast("string"), F.lit("*:*")).alias("cpeName"))
     return ops.cpe_hierarchy(names)
 
@@ -202,12 +211,12 @@ def cpe_pairs(spark, sf_dir):
 @query("pair_documents", f"""WITH {_PAIRS}
 SELECT vendor, product, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS ids,
   CAST(sum(length(o_orderpriority)) AS BIGINT) AS body_chars
-FROM (SELECT DISTINCT vendor, product, cve FROM pairs WHERE in_new)
+FROM (SELECT DISTINCT vendor, product, cve FROM pairs)
 JOIN orders ON cve = o_orderkey WHERE o_orderstatus <> 'P' GROUP BY vendor, product""")
 def pair_documents(spark, sf_dir):
     docs = read(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'").select(
         F.col("o_orderkey").alias("cve"), F.col("o_orderpriority").alias("document"))
-    paired = ops.pair_documents(ops.pack_id_sets(new_side(spark, sf_dir), per_row=8), docs)
+    paired = ops.pair_documents(ops.pack_id_sets(all_pairs(spark, sf_dir), per_row=8), docs)
     zero = F.lit(0).cast("bigint")
     ids = F.aggregate("pairs", zero, lambda a, p: a + p[0].cast("bigint"))
     chars = F.aggregate("pairs", zero, lambda a, p: a + F.length(p[1]))
@@ -217,8 +226,8 @@ def pair_documents(spark, sf_dir):
 
 @query("fetch_by_ids", f"""WITH {_PAIRS}
 SELECT vendor, product, cve, o_orderstatus, o_totalprice
-FROM (SELECT DISTINCT vendor, product, cve FROM pairs WHERE in_new) JOIN orders ON cve = o_orderkey""")
+FROM (SELECT DISTINCT vendor, product, cve FROM pairs) JOIN orders ON cve = o_orderkey""")
 def fetch_by_ids(spark, sf_dir):
     docs = read(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("cve"), "o_orderstatus", "o_totalprice")
-    return ops.fetch_by_ids(new_side(spark, sf_dir).drop("build_ts"), docs)
+    return ops.fetch_by_ids(all_pairs(spark, sf_dir).drop("build_ts"), docs)

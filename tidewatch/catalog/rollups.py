@@ -9,7 +9,7 @@ from ..operators import thresholds
 from ..operators import rollups as ops
 from ..session import cut_lineage
 from . import query
-from .tables import findings_sql, flagged_findings, rating_sql, read
+from .tables import enriched, findings_sql, rating_sql, read
 
 MEASURES_SQL = """
   count(DISTINCT cve) AS total_cves,
@@ -63,13 +63,13 @@ SELECT *, {rating_sql('cumulative_threat_index', f'ytd_{level}')} AS running_ris
 def _register(view: str) -> None:
     @query(f"rollup_{view}", rollup_sql(view))
     def run(spark, sf_dir):
-        return ops.rollup(flagged_findings(spark, sf_dir, _keyed(view)), view)
+        return ops.rollup(enriched(spark, sf_dir, _keyed(view)), view)
 
 
 def _register_running(level: str) -> None:
     @query(f"running_{level}", running_sql(level))
     def run(spark, sf_dir):
-        daily = ops.rollup(flagged_findings(spark, sf_dir, level != "global"), f"daily_{level}")
+        daily = ops.rollup(enriched(spark, sf_dir, level != "global"), f"daily_{level}")
         return ops.running_total(daily, level)
 
 
@@ -88,7 +88,7 @@ for _level in ops.LEVEL_KEYS:
 SELECT *, make_date(year_published, 1, 1) AS year_date,
   {rating_sql('threat_index', 'ytd_vendor')} AS risk_rating FROM grouped""")
 def rollup_by_id(spark, sf_dir):
-    return ops.rollup(flagged_findings(spark, sf_dir), "ytd_vendor", dedupe="id")
+    return ops.rollup(enriched(spark, sf_dir), "ytd_vendor", dedupe="id")
 
 
 LEVELS_CTE = f"""{findings_sql()}, levels AS (
@@ -113,12 +113,12 @@ BUCKETS_CTE = f"""{STATS_CTE}, buckets AS (
 
 
 def levels(spark, sf_dir):
-    return ops.rollups(flagged_findings(spark, sf_dir)).select("level", "threat_index")
+    return ops.rollups(enriched(spark, sf_dir)).select("level", "threat_index")
 
 
 @query("union_levels", f"WITH {LEVELS_CTE} SELECT level, threat_index FROM levels")
 def union_levels(spark, sf_dir):
-    tagged = cut_lineage(ops.rollups(flagged_findings(spark, sf_dir)), "rollups")
+    tagged = cut_lineage(ops.rollups(enriched(spark, sf_dir)), "rollups")
     return thresholds.union_levels({v: ops.split_view(tagged, v) for v in ops.ALL_VIEWS})
 
 
@@ -148,7 +148,7 @@ def threshold_table(spark, sf_dir):
 SELECT severity, count(*) AS n, min(score) AS min_score, max(score) AS max_score
 FROM findings GROUP BY severity""")
 def severity_bands(spark, sf_dir):
-    rows = flagged_findings(spark, sf_dir, keyed=False)
+    rows = enriched(spark, sf_dir, keyed=False)
     return (rows.groupBy(scoring.severity(F.col("cvssScore")).alias("severity"))
             .agg(F.count("*").alias("n"), F.min("cvssScore").alias("min_score"),
                  F.max("cvssScore").alias("max_score")))
@@ -157,7 +157,7 @@ def severity_bands(spark, sf_dir):
 @query("weighted_score", f"""WITH {findings_sql(False)}
 SELECT severity, weight, count(*) AS n FROM findings GROUP BY severity, weight""")
 def weighted_score(spark, sf_dir):
-    rows = flagged_findings(spark, sf_dir, keyed=False)
+    rows = enriched(spark, sf_dir, keyed=False)
     band = scoring.severity(F.col("cvssScore"))
     return (rows.groupBy(band.alias("severity"),
                          scoring.weighted_score(F.col("cvssScore"), band).alias("weight"))

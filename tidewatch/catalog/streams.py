@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import mapping
 from ..session import workspace
 from ..streaming import files
 from . import query
@@ -26,6 +27,31 @@ def stream_dedupe(spark, sf_dir):
     schema = read(spark, sf_dir, "events").schema
     out, checkpoint = workspace(spark, "drained"), workspace(spark, "checkpoint")
     messages = files.read_new_files(spark, sf_dir, schema, glob="events.parquet").select(
-        F.concat_ws("-", F.col("user_id").cast("string"), "event_type").alias("message_id"))
-    files.drain_messages(messages, out, checkpoint).awaitTermination()
+        F.concat_ws("-", F.col("user_id").cast("string"), "event_type").alias("message_id"),
+        F.col("ts").cast("timestamp").alias("ts"))
+    files.drain_messages(messages, out, checkpoint, time="ts").awaitTermination()
     return spark.read.schema("message_id string").parquet(out)
+
+
+_FEED_RUNS = ["2025-05-03T10:11:12+00:00", "2025-05-10T10:11:12+00:00"]
+_LONG = "repeat(lower(p_brand), 12) || '-' || p_partkey"
+
+
+@query("feed_drained", "WITH keys AS (SELECT DISTINCT v, p FROM (SELECT "
+       f"{_LONG} AS v, unnest(['a-b', 'a_b', 'a.b']) AS p FROM part)) "
+       + " UNION ALL ".join(
+           "SELECT '{\"vendor\":\"' || v || '\",\"product\":\"' || p || "
+           f"'\",\"ingestionTimestamp\":\"{run}\"}}' AS body FROM keys" for run in _FEED_RUNS))
+def feed_drained(spark, sf_dir):
+    """Two runs of a feed over long names and names that differ in punctuation, sent twice."""
+    keys = read(spark, sf_dir, "part").select(
+        F.expr(_LONG).alias("vendor"),
+        F.explode(F.array(F.lit("a-b"), F.lit("a_b"), F.lit("a.b"))).alias("product"))
+    sent, out, checkpoint = (workspace(spark, n) for n in ("sent", "drained", "checkpoint"))
+    for run in _FEED_RUNS:
+        feed = mapping.change_feed([keys], run).withColumn("at", F.to_timestamp(F.lit(run)))
+        for _ in range(2):
+            feed.write.mode("append").parquet(sent)
+        stream = files.read_new_files(spark, sent, feed.schema)
+        files.drain_messages(stream, out, checkpoint, time="at").awaitTermination()
+    return spark.read.schema("body string").parquet(out)

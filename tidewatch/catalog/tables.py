@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scoring
-from ..sources.tables import spread
+from ..operators.lookup import enrich
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -59,7 +59,7 @@ def version() -> Column:
 
 
 def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(read(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+    return read(spark, sf_dir, "lineitem")
 
 
 def _findings(spark: SparkSession, sf_dir: str, keyed: bool, **columns: Column) -> DataFrame:
@@ -76,24 +76,15 @@ def _findings(spark: SparkSession, sf_dir: str, keyed: bool, **columns: Column)
     return scored.withColumn("severity", scoring.severity(F.col("cvssScore"), missing=""))
 
 
-def findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def findings(spark: SparkSession, sf_dir: str, keyed: bool = True) -> DataFrame:
     """Lookup-like rows with a vector text."""
-    return _findings(spark, sf_dir, True, cvssVersion=version(), vectorString=vector_string(),
+    return _findings(spark, sf_dir, keyed, cvssVersion=version(), vectorString=vector_string(),
                      year_published=F.year("l_shipdate"), date_published=F.to_date("l_shipdate"))
 
 
-def flagged_findings(spark: SparkSession, sf_dir: str, keyed: bool = True) -> DataFrame:
-    """The same rows with the flags that their vectors stand for, and their weight."""
-    v3, seen = F.col("l_linenumber") < 6, F.col("l_linestatus") == "F"
-    high = v3 & ((F.col("l_quantity") >= 35) | (F.col("l_suppkey") % 2 == 0))
-    rows = _findings(
-        spark, sf_dir, keyed, is_network_based=F.col("l_returnflag") == "R", is_no_ui=seen,
-        is_low_priv=F.when(v3, F.col("l_discount") <= 0.05).otherwise(seen),
-        is_scope_changed=v3 & (F.col("l_tax") <= 0.04), is_high=high)
-    return rows.withColumns({
-        "is_fully_critical": F.col("is_network_based") & F.col("is_no_ui") & F.col("is_low_priv")
-        & F.col("is_scope_changed") & F.col("is_high"),
-        "weighted_score": scoring.weighted_score(F.col("cvssScore"), F.col("severity"))})
+def enriched(spark: SparkSession, sf_dir: str, keyed: bool = True) -> DataFrame:
+    """The same rows with the flags read from their vectors, and their weight."""
+    return enrich(findings(spark, sf_dir, keyed))
 
 
 def findings_sql(keyed: bool = True) -> str:

@@ -52,10 +52,6 @@ def from_units(units: Column, scale: int = 2) -> Column:
     return F.round(units / F.lit(float(UNITS)), scale)
 
 
-def round_col(c: Column, scale: int = 2) -> Column:
-    return F.round(c.cast("double"), scale)
-
-
 def risk_rating(index: Column, level: str) -> Column:
     rated = F.when(index.isNull(), "Unknown")
     for name, bound in zip(RATINGS, LADDERS[level]):

@@ -49,8 +49,13 @@ def safe_path(c: Column) -> Column:
     return F.array_join(F.transform(F.split(c, "/"), safe_name), "/")
 
 
-def message_id(vendor: Column, product: Column) -> Column:
-    """Queue message id, at most 80 characters."""
+def message_id(*parts: Column) -> Column:
+    """Identity of a message: a digest of all its parts, whatever characters they hold."""
+    return F.sha2(F.to_json(F.array(*[F.coalesce(p, F.lit("")) for p in parts])), 256)
+
+
+def message_label(vendor: Column, product: Column) -> Column:
+    """Entry name within a queue batch, at most 80 characters; not an identity."""
     return F.substring(F.regexp_replace(F.concat_ws("_", vendor, product), r"[^A-Za-z0-9_-]", "_"),
                        1, 80)
 

@@ -37,9 +37,10 @@ def affected_pairs(docs: DataFrame) -> DataFrame:
 def cpe_hierarchy(df: DataFrame, name: str = "cpeName") -> DataFrame:
     """Distinct (set_key, member) rows: prefix -> type -> vendor -> product -> version suffix.
 
-    Part 1 of a platform name is its version and belongs to no set.
+    Part 1 of a platform name is its version and belongs to no set. A colon after a backslash is
+    part of a name.
     """
-    parts = F.split(name, ":")
+    parts = F.split(name, r"(?<!\\):")
     at = lambda i: F.get(parts, F.lit(i))
     suffix = F.array_join(F.slice(parts, 6, F.greatest(F.size(parts) - 5, F.lit(0))), ":")
     edge = lambda key, member: F.struct(key.alias("set_key"), member.alias("member"))
@@ -107,7 +108,7 @@ def newest_build(meta: DataFrame, collection: str) -> DataFrame:
 
 def baseline_build(meta: DataFrame, collection: str, now: Column, hours: float) -> DataFrame:
     """Newest build at least ``hours`` old, else the oldest one; fails below two builds."""
-    cutoff = now - F.make_dt_interval(mins=F.lit(int(hours * 60)))
+    cutoff = now - F.make_dt_interval(secs=F.lit(float(hours) * 3600))
     found = meta.filter(F.col("collection") == collection).agg(
         F.count("*").alias("builds"),
         F.coalesce(F.max(F.when(F.col("ts") <= cutoff, F.col("ts"))), F.min("ts")).alias("ts"))
@@ -154,10 +155,15 @@ def metadata_changed(docs: DataFrame, baseline: Column, times: list[str],
 
 
 def change_feed(changed_keys: list[DataFrame], run_ts: str) -> DataFrame:
-    """One JSON message per key that any of the frames names."""
+    """One JSON message per key that any of the frames names.
+
+    A key that changes again in a later run gets a message with another id.
+    """
     keys = reduce(DataFrame.unionByName, [k.select(*MAP_KEYS) for k in changed_keys]).distinct()
+    ident = text.message_id(F.col("vendor"), F.col("product"), F.lit(run_ts))
     body = F.to_json(F.struct(*MAP_KEYS, F.lit(run_ts).alias("ingestionTimestamp")))
-    return keys.select(text.message_id(F.col("vendor"), F.col("product")).alias("message_id"),
+    return keys.select(ident.alias("message_id"),
+                       text.message_label(F.col("vendor"), F.col("product")).alias("label"),
                        body.alias("body"))
 
 

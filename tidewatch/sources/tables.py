@@ -2,21 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.rollups import ALL_VIEWS, LEVEL_KEYS, MEASURES
 
-
-def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Deal the rows of a small input out to all cores, by a hash of ``columns`` where given.
-
-    Only where the scan has fewer splits than there are cores, such as a file of one row group;
-    a large table has many more and passes unchanged, without a shuffle.
-    """
-    # getNumPartitions only plans the scan; no job runs and no row leaves the JVM
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df
+#: The folder name that Spark gives a NULL partition value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def compact_json(df: DataFrame, path: str, shards: int, compression: str | None = None,
@@ -52,14 +46,16 @@ def overwrite_table(df: DataFrame, path: str, partition_by: list[str],
 def replace_partitions(df: DataFrame, path: str, parts: list[str], touched: DataFrame) -> None:
     """Overwrite the partitions in ``df`` and drop touched ones that ``df`` no longer holds.
 
-    Partitions are calendar periods, so the list of emptied ones is short.
+    Partitions are calendar periods (or the one without), so the list of emptied ones is short; they
+    are deleted one by one. A reader in between may still see a row that has left its partition.
     """
     overwrite_table(df, path, parts, dynamic=True)
-    emptied = touched.select(*parts).distinct().join(df.select(*parts), parts, "left_anti")
+    wanted, held = touched.select(*parts).distinct().alias("t"), df.select(*parts).alias("d")
+    same = reduce(Column.__and__, [F.col(f"t.{c}").eqNullSafe(F.col(f"d.{c}")) for c in parts])
     spark = df.sparkSession
-    for row in emptied.collect():
-        folder = spark._jvm.org.apache.hadoop.fs.Path(
-            "/".join([path, *[f"{c}={row[c]}" for c in parts]]))
+    for row in wanted.join(held, same, "left_anti").collect():
+        names = [f"{c}={NO_VALUE if row[c] is None else row[c]}" for c in parts]
+        folder = spark._jvm.org.apache.hadoop.fs.Path("/".join([path, *names]))
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
@@ -86,6 +82,7 @@ def _rollup_spec(view: str) -> dict:
 
 
 def _serving_specs() -> dict[str, dict]:
+    # fixed values: column names of the serving tables
     numbers = {"cvssScore", "impactScore", "exploitabilityScore"}
     lookup = ["datePublished", "vendor", "product", "cveId", "descriptions", "cvssScore",
               "severity", "vectorString", "impactScore", "exploitabilityScore", "source",

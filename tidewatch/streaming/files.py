@@ -49,6 +49,12 @@ def dedupe_messages(stream: DataFrame, ident: str = "message_id", time: str | No
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark([ident])
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Messages that a finished run left out because they came later than the delay allows."""
+    return sum(int(op.get("numRowsDroppedByWatermark", 0))
+               for progress in query.recentProgress for op in progress["stateOperators"])
+
+
 def drain_messages(stream: DataFrame, out: str, checkpoint: str, ident: str = "message_id",
                    time: str | None = None) -> StreamingQuery:
     return append_available(dedupe_messages(stream, ident, time), out, checkpoint)
