@@ -82,6 +82,54 @@ def test_watermark_after_refresh(spark, refreshed):
         assert [r.last_run_ts for r in rows] == [SECOND]
 
 
+def both_sides(spark, root, table):
+    inc, full = (spark.read.parquet(f"{root}/{side}/{table}") for side in ("inc", "full"))
+    return inc.select(*full.columns), full
+
+
+def test_undated_shared_names_and_a_crash(spark, tmp_path, monkeypatch):
+    """Undated rows, two raw names with one display name, and a run that stops after the lookup."""
+    day = dt(2020, 1, 1)
+    before = [scored("n1", 3.0, None, FIRST, FIRST), scored("n2", 4.5, None, FIRST, FIRST),
+              scored("m1", 5.0, None, FIRST, FIRST), scored("d1", 6.0, day, FIRST, FIRST),
+              scored("d2", 7.5, day, FIRST, FIRST),
+              scored("same", 5.0, day, FIRST, FIRST, vendor="foo_bar"),
+              scored("same", 8.0, day, FIRST, FIRST, vendor="Foo Bar")]
+    moved = {"n2", "m1", "d2"}
+    after = [r[:14] + (SECOND, False) + r[16:] if r[2] in moved else r for r in before]
+    after += [scored("n2", 9.0, None, SECOND, SECOND), scored("m1", 5.5, dt(2021, 2, 2), SECOND, SECOND),
+              scored("d2", 7.5, None, SECOND, SECOND)]
+    one, two = spark.createDataFrame(before, MASTER), spark.createDataFrame(after, MASTER)
+    other = spark.createDataFrame([("other", FIRST)], WATERMARK)
+    other.write.parquet(str(tmp_path / "inc" / "watermark"))
+    views.backfill(spark, one, str(tmp_path / "inc"))
+    with monkeypatch.context() as m:
+        m.setattr(views.rollups, "rollups", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            views.incremental(spark, two, str(tmp_path / "inc"))
+    views.incremental(spark, two, str(tmp_path / "inc"))
+    views.backfill(spark, two, str(tmp_path / "full"))
+    for table in views.TABLES:
+        inc, full = both_sides(spark, tmp_path, table)
+        assert inc.exceptAll(full).count() == 0 and full.exceptAll(inc).count() == 0, table
+    assert spark.read.parquet(str(tmp_path / "inc" / "lookup")).filter("cveId = 'same'").count() == 2
+    marks = {r.pipeline_name: r.last_run_ts
+             for r in spark.read.parquet(str(tmp_path / "inc" / "watermark")).collect()}
+    assert marks == {"other": FIRST, "views": SECOND}
+
+
+def test_late_messages_are_counted(spark, frame, tmp_path):
+    path, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    schema = "message_id string, at timestamp"
+    late = []
+    for batch in ([("a", dt(2025, 1, 1))], [("b", dt(2025, 3, 1))], [("c", dt(2025, 1, 2))]):
+        frame(batch, schema).write.mode("append").parquet(path)
+        run = files.drain_messages(files.read_new_files(spark, path, schema), out, check, time="at")
+        run.awaitTermination()
+        late.append(files.late_rows(run))
+    assert late == [0, 0, 1]
+
+
 def test_touched_partitions_are_pruned(spark, refreshed):
     lookup = spark.read.parquet(str(refreshed / "full" / "lookup"))
     touched = lookup.filter("cveId = 'fresh'").select("year_published", "date_published")
