@@ -6,6 +6,7 @@ import datetime as dt
 import math
 import os
 import sys
+import tempfile
 import time
 from collections import Counter
 from glob import glob
@@ -59,6 +60,7 @@ def main(sf_dir="/root/testdata/sf0.01", *only):
     from tidewatch.session import build_session
     spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8",
                                                   "spark.ui.enabled": "false",
+                                                  "spark.checkpoint.dir": tempfile.mkdtemp(prefix="check-"),
                                                   "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con, oracles, bad = connect(sf_dir), entry.oracle_sql(), 0

@@ -108,7 +108,8 @@ def scd2_current(spark, sf_dir):
     return history.read_current(target_rows(spark, sf_dir), "lastModified")
 
 
-_HASHED = """md5(concat_ws('||', vendor, CAST(score AS VARCHAR), strftime("lastModified", '%Y-%m-%d %H:%M:%S')))"""
+_HASHED = "md5(" + " || ".join(f"coalesce('V' || length({c}) || ':' || {c}, 'N')" for c in (
+    "vendor", "CAST(score AS VARCHAR)", "strftime(\"lastModified\", '%Y-%m-%d %H:%M:%S')")) + ")"
 
 
 @query("scd2_hash", f"""WITH {_TARGET.replace('target AS', 'plain AS')}, {_BATCH.replace('batch AS', 'latest AS')},

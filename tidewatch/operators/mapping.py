@@ -67,8 +67,8 @@ def id_pairs(pairs: DataFrame, build_ts: Column) -> DataFrame:
 def pack_id_sets(pairs: DataFrame, per_row: int = 1_000) -> DataFrame:
     """Long form to sorted arrays of about ``per_row`` ids; big keys span several chunks.
 
-    Only big keys are joined back for their number of chunks, and the rows are partitioned by
-    chunk before anything is collected, so no task sees a big key as a whole.
+    Only big keys are joined back for their number of chunks, and rows are grouped by chunk, so no
+    task sees a big key as a whole.
     """
     keys = [*MAP_KEYS, "build_ts"]
     big = (pairs.groupBy(F.struct(*keys).alias("key"))
@@ -76,7 +76,6 @@ def pack_id_sets(pairs: DataFrame, per_row: int = 1_000) -> DataFrame:
            .filter("_chunks > 1").select("key.*", "_chunks"))
     chunk = F.coalesce(F.pmod(F.xxhash64("cve"), F.col("_chunks")), F.lit(0))
     return (pairs.join(big, keys, "left").withColumn("chunk", chunk)
-            .repartition(*keys, "chunk")
             .groupBy(*keys, "chunk").agg(F.array_sort(F.collect_list("cve")).alias("cves")))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import history
 from ..schemas import MASTER
-from ..session import cut_lineage
+from ..session import cut_lineage, job_folders
 from ..sources import tables
 
 
@@ -18,8 +18,9 @@ def merge_batch(spark: SparkSession, staging: DataFrame, root: str, version: int
     before = (tables.read_version(spark, root, version - 1) if version > 1
               else spark.createDataFrame([], MASTER))
     batch = history.to_master(staging, moment)
-    merged = history.scd2_merge(
-        before, batch, tie_breakers=["dateUpdated", "datePublished", "descriptions"],
-        cut=lambda df: cut_lineage(df, "batch"))
-    tables.write_version(merged, root, version)
+    with job_folders(spark):
+        merged = history.scd2_merge(
+            before, batch, tie_breakers=["dateUpdated", "datePublished", "descriptions"],
+            cut=lambda df: cut_lineage(df, "batch"))
+        tables.write_version(merged, root, version)
     return tables.read_version(spark, root, version)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import feeds, quality
-from ..session import cut_lineage
+from ..session import cut_lineage, job_folders
 from ..sources import raw as raw_source
 from ..sources import tables
 
@@ -17,8 +17,9 @@ def stage_day(spark: SparkSession, path: str, table: str, compat: bool = False)
     The collapsed pulls are written once, so the JSON is read and parsed once.
     """
     records = feeds.available_only(raw_source.read_raw(spark, path))
-    staged = feeds.stage(records, compat, cut=lambda df: cut_lineage(df, "pulls"))
-    tables.append_table(staged, table, ["ingestionDate"])
+    with job_folders(spark):
+        staged = feeds.stage(records, compat, cut=lambda df: cut_lineage(df, "pulls"))
+        tables.append_table(staged, table, ["ingestionDate"])
     return spark.table(table)
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
@@ -18,6 +20,7 @@ DEFAULTS = {
 }
 
 _local_root: str | None = None
+_jobs: list[list[str]] = []
 
 
 def build_session(app: str = "tidewatch", master: str | None = None, **conf: str) -> SparkSession:
@@ -43,7 +46,24 @@ def workspace(spark: SparkSession, label: str) -> str:
         if _local_root is None:
             _local_root = tempfile.mkdtemp(prefix="tidewatch-")
         root = _local_root
-    return f"{root.rstrip('/')}/{label}-{uuid4().hex}"
+    path = f"{root.rstrip('/')}/{label}-{uuid4().hex}"
+    for paths in _jobs:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def job_folders(spark: SparkSession) -> Iterator[None]:
+    """Delete what ``workspace`` hands out inside, once the job has written its tables."""
+    made: list[str] = []
+    _jobs.append(made)
+    try:
+        yield
+    finally:
+        _jobs.remove(made)
+        for path in made:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def cut_lineage(df, label: str = "cut"):
