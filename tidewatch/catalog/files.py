@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
-from ..operators import feeds
+from ..operators import feeds, joins, quality
 from ..session import workspace
 from ..sources import raw, tables
 from . import query
@@ -63,3 +65,61 @@ def dynamic_overwrite(spark, sf_dir):
     tables.overwrite_table(changed.withColumn("status", F.lit("new")), path, ["year_published"],
                            dynamic=True)
     return spark.read.parquet(path)
+
+
+@query("append_table", """
+SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS day FROM events""")
+def append_table(spark, sf_dir):
+    """Two appends; the first one creates the table."""
+    name = f"appended_{uuid4().hex}"
+    rows = read(spark, sf_dir, "events").select(
+        "event_id", "user_id", "event_type", F.to_date("ts").alias("day"))
+    for part in (F.col("event_id") % 2 == 0, F.col("event_id") % 2 == 1):
+        tables.append_table(rows.filter(part), name, ["event_type"])
+    return spark.table(name)
+
+
+@query("create_table_as", """
+SELECT o_custkey, count(*) AS orders, max(o_totalprice) AS highest FROM orders GROUP BY o_custkey""")
+def create_table_as(spark, sf_dir):
+    name = f"created_{uuid4().hex}"
+    tables.create_table_as(read(spark, sf_dir, "orders").groupBy("o_custkey").agg(
+        F.count("*").alias("orders"), F.max("o_totalprice").alias("highest")), name)
+    return spark.table(name)
+
+
+@query("stage_counts", """
+SELECT count(*) AS counted, count(DISTINCT o_custkey) AS customers FROM orders""")
+def stage_counts(spark, sf_dir):
+    """The number of rows that a write has seen pass, beside what was written."""
+    path = workspace(spark, "counted")
+    rows, seen = quality.stage_counts(read(spark, sf_dir, "orders"), f"orders-{uuid4().hex}")
+    rows.write.parquet(path)
+    return spark.read.parquet(path).agg(F.count_distinct("o_custkey").alias("customers")).select(
+        F.lit(seen.get["records"]).cast("bigint").alias("counted"), "customers")
+
+
+@query("yearly_upsert", """
+SELECT c_custkey AS id, coalesce(p, c_name) AS body, coalesce(o, -1) AS seq FROM customer LEFT JOIN (
+  SELECT o_custkey, o_orderpriority AS p, o_orderkey AS o FROM orders
+  WHERE o_orderkey % 5 <> 0 AND o_custkey IN (SELECT c_custkey FROM customer)
+  QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1) ON c_custkey = o_custkey
+UNION ALL SELECT o_custkey, o_orderpriority, o_orderkey FROM orders
+WHERE o_orderkey % 5 <> 0 AND o_custkey NOT IN (SELECT c_custkey FROM customer)
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1""")
+def yearly_upsert(spark, sf_dir):
+    """Gzip files of documents, one folder a year, with lines that break off."""
+    root = workspace(spark, "yearly")
+    line = F.to_json(F.struct(F.col("o_custkey").alias("id"), F.col("o_orderpriority").alias("body"),
+                              F.col("o_orderkey").alias("seq")))
+    broken = F.col("o_orderkey") % 5 == 0
+    (read(spark, sf_dir, "orders").select(
+        F.when(broken, F.substring(line, 1, 12)).otherwise(line).alias("value"),
+        F.year("o_orderdate").alias("year"))
+     .write.partitionBy("year").option("compression", "gzip").text(root))
+    schema = "id bigint, body string, seq bigint"
+    incoming = raw.read_documents(spark, f"{root}/year=*", schema)
+    target = read(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("body"),
+        F.lit(-1).cast("bigint").alias("seq"))
+    return joins.upsert_documents(target, incoming, "id", ["seq"], "_corrupt_record")

@@ -129,7 +129,7 @@ def threshold_stats(spark, sf_dir):
 
 @query("bucket_counts", f"WITH {BUCKETS_CTE} SELECT * FROM buckets")
 def bucket_counts(spark, sf_dir):
-    rows = levels(spark, sf_dir)
+    rows = cut_lineage(levels(spark, sf_dir), "levels")  # read by both sides
     return thresholds.bucket_counts(rows, thresholds.threshold_stats(rows))
 
 

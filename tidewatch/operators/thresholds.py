@@ -71,11 +71,10 @@ def threshold_stats(levels: DataFrame) -> DataFrame:
 def bucket_counts(levels: DataFrame, thresholds: DataFrame) -> DataFrame:
     """Rows per level between the cut points of a threshold table.
 
-    Equal values are counted first; the threshold side has one row per level, nine at most,
-    hence the broadcast.
+    Equal values are counted first; the threshold side is as small as the caller's levels are few.
     """
     cuts = thresholds.select("level", "low_threshold", "med_threshold", "high_threshold")
-    return (_value_counts(levels).join(F.broadcast(cuts), "level")
+    return (_value_counts(levels).join(cuts, "level")
             .groupBy("level").agg(*_buckets()))
 
 
