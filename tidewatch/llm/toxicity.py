@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from .common import byte_batches, documents
 
 BITS, SIZES, PASSAGE, WIDTH = 18, (3, 4, 5), 12, 8
+#: A passage of fewer n-grams is averaged as if it had this many, so that no single word decides.
+MIN_GRAMS = 40
 #: Labelled texts of either class that training takes at most, chosen by hash.
 MAX_TEXTS = 1_500
 #: Passages of a text that training takes at most, chosen at random from its doc_id.
@@ -41,7 +43,7 @@ def ngrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """(bucket, passage) of every n-gram, and the number of passages up to each text's end.
 
     N-grams lie within a word and the blanks around it; texts that lie behind each other in
-    ``data`` are parted by a blank.
+    ``data`` are parted by a blank. A word that repeats the one before it adds none.
     """
     texts = len(offsets) - 1
     folded = np.full(len(data) + texts + 1, 32, dtype=np.uint32)
@@ -58,6 +60,15 @@ def ngrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     ends = np.cumsum(passages)
     text_of = np.repeat(np.arange(texts), np.diff(np.append(begins, len(folded))))
     passage = (ends - passages)[text_of] + (words - before[text_of] - 1) // PASSAGE
+    # words alike in length and pairs of characters repeat each other
+    pairs = np.append(folded[:-1] * np.uint32(0x01000193) + folded[1:], np.uint32(0))
+    pairs = (pairs ^ (pairs >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
+    pairs[blank] = 0
+    head = np.flatnonzero(heads)
+    fresh = np.ones(len(head) + 1, dtype=bool)  # by word number, from 1
+    if len(head):
+        sums = np.add.reduceat(pairs, head)
+        fresh[2:] = (np.diff(sums) != 0) | (np.diff(text_of[head]) != 0)
     # distance to the next blank behind each place
     blanks = np.flatnonzero(blank)
     ahead = blanks[np.searchsorted(blanks, np.arange(len(folded)), side="right")
@@ -68,6 +79,7 @@ def ngrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
         h = h[:-1] * np.uint32(0x01000193) + folded[n - 1:]
         if n in SIZES:
             at = np.flatnonzero(ahead[:len(h)] >= n - 1)
+            at = at[fresh[words[at + 1]]]
             mixed = (h[at] ^ np.uint32(n)) * np.uint32(0x9E3779B1)
             buckets.append(mixed >> np.uint32(32 - BITS))
             owners.append(passage[at + 1])
@@ -89,7 +101,7 @@ class Model:
         size = int(ends[-1]) if len(ends) else 0
         total = np.bincount(passage, weights=self.weight[bucket], minlength=size)
         count = np.bincount(passage, minlength=size)
-        z = total / np.maximum(count, 1) + self.bias
+        z = total / np.maximum(count, MIN_GRAMS) + self.bias
         out = np.full(len(ends), self.bias)
         begins = np.append(0, ends[:-1])
         some = ends > begins
@@ -118,13 +130,14 @@ def _fit_softmax(bags: list[np.ndarray], toxic: np.ndarray, rounds: int, seed: i
             n = lengths[batch]
             rows = ids[np.repeat(first[batch] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
             owner = np.repeat(np.arange(len(batch)), n)
-            mean = np.add.reduceat(table[rows], np.cumsum(n) - n) / n[:, None]
+            size = np.maximum(n, MIN_GRAMS)[:, None]
+            mean = np.add.reduceat(table[rows], np.cumsum(n) - n) / size
             z = mean @ matrix + bias
             p = np.exp(z - z.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
             p[np.arange(len(batch)), toxic[batch]] -= 1
             delta = p * share[batch][:, None] * len(bags)
-            back = (delta @ matrix.T) / n[:, None]
+            back = (delta @ matrix.T) / size
             used, slot = np.unique(rows, return_inverse=True)
             grad = np.stack([np.bincount(slot, weights=back[owner, d]) for d in range(WIDTH)], 1)
             sums[0][used] += grad ** 2
@@ -138,7 +151,7 @@ def _fit_softmax(bags: list[np.ndarray], toxic: np.ndarray, rounds: int, seed: i
 
 
 def _passage_logits(bags: list[np.ndarray], weight: np.ndarray, bias: float) -> np.ndarray:
-    return np.array([weight[b].mean() for b in bags]) + bias
+    return np.array([weight[b].sum() / max(len(b), MIN_GRAMS) for b in bags]) + bias
 
 
 def fit(texts: np.ndarray, toxic: np.ndarray, bags: list[np.ndarray], rounds: int = 4,
