@@ -1,10 +1,12 @@
 """Quality rules: exact text statistics and a hashed n-gram log-likelihood ratio.
 
-Words and word pairs are hashed into ``buckets``. Two multinomials over the buckets are estimated,
-one from trusted documents and one from the whole corpus; the score of a text is the mean over
-its n-grams of log p(trusted) - log p(corpus). Texts like the trusted ones score about zero or
-more, texts in a style that trusted documents lack score far below. A text is kept if it fails no
-base rule and its score reaches a fixed threshold.
+Words and word pairs are hashed into ``buckets``, half of them for words and half for pairs. Two
+multinomials over the buckets are estimated, one from all trusted documents and one from the whole
+corpus; the score of a text is the mean over its n-grams of log p(trusted) - log p(corpus). The
+trusted one is smoothed towards the corpus: an n-gram seen a few times says little, and one that
+trusted documents lack weighs no less than log ``FLOOR``, at any size of the corpus. Texts like the
+trusted ones score about zero or more, texts in a style that trusted documents lack score far
+below. A text is kept if it fails no base rule and its score reaches a fixed threshold.
 
 Weights are whole millionths, so sums do not depend on the order of rows and each document
 gets the same verdict in every run.
@@ -17,11 +19,13 @@ from pyspark.sql import functions as F
 
 from .common import SEPARATORS, documents
 
-BUCKETS = 1 << 16
-#: Trusted documents that the target distribution is estimated from, at most.
-MAX_TRUSTED = 20_000
+BUCKETS = 1 << 20
+#: N-grams of corpus text that a bucket's counts are smoothed with.
+PRIOR = 4
+#: Share of the corpus distribution in the trusted one.
+FLOOR = 0.1
 #: Mean log-likelihood ratio of an n-gram that a kept document reaches, in millionths.
-THRESHOLD = -200_000
+THRESHOLD = -300_000
 SYMBOLS = "#*$%&|<>"
 
 
@@ -80,10 +84,11 @@ def _with_repeat_words(df: DataFrame) -> DataFrame:
 
 
 def _ngrams(h: Column, buckets: int) -> Column:
-    """Buckets of all words and all pairs of neighbours; ``buckets`` is a power of two."""
-    mask = F.lit(buckets - 1).cast("long")
+    """Buckets of all words, then of all pairs of neighbours; ``buckets`` is a power of two."""
+    half = buckets // 2
+    mask = F.lit(half - 1).cast("long")
     pairs = F.transform(h, lambda x, i: F.shiftright(x, 7).bitwiseXOR(
-        F.get(h, i + 1)).bitwiseAND(mask))
+        F.get(h, i + 1)).bitwiseAND(mask).bitwiseOR(F.lit(half).cast("long")))
     return F.concat(F.transform(h, lambda x: x.bitwiseAND(mask)), pairs)
 
 
@@ -101,37 +106,36 @@ def statistics(docs: DataFrame) -> DataFrame:
     return _with_repeat_words(counted)
 
 
-def weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS,
-            max_trusted: int = MAX_TRUSTED) -> DataFrame:
+def weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """(bucket, weight): smoothed log-likelihood ratios in millionths, ``buckets`` rows at most.
 
-    Corpus counts cover all of ``docs``. ``trusted`` has the doc_id of trusted documents, of
-    which at most ``max_trusted`` are used, chosen by hash.
+    Corpus counts cover all of ``docs``, the others all documents whose doc_id ``trusted`` has.
     """
     chosen = (trusted.select(F.col("doc_id").cast("long").alias("doc_id")).dropna().distinct()
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_trusted)
               .withColumn("target", F.lit(1)))
-    grams = (_worded(docs).select("doc_id", F.explode(_ngrams(F.col("h"), buckets)).alias("bucket"))
-             .where("bucket IS NOT NULL")
-             # max_trusted rows of two numbers
-             .join(F.broadcast(chosen), "doc_id", "left"))
+    # ids alone are sent: a shuffle join would move every text
+    grams = (_worded(docs).join(F.broadcast(chosen), "doc_id", "left")
+             .select("target", F.explode(_ngrams(F.col("h"), buckets)).alias("bucket"))
+             .where("bucket IS NOT NULL"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("target").alias("hit"))
     totals = counts.agg(F.sum("raw").alias("all_raw"), F.sum("hit").alias("all_hit"))
-    ratio = (F.log((F.col("hit") + 1) / (F.col("all_hit") + buckets))
-             - F.log((F.col("raw") + 1) / (F.col("all_raw") + buckets)))
+    # trusted n-grams at the rate of the corpus would give ``raw``
+    scaled = F.when(F.col("all_hit") > 0, F.col("hit") * (
+        F.col("all_raw") / F.nullif(F.col("all_hit"), F.lit(0)))).otherwise(F.col("raw"))
+    ratio = F.log(FLOOR + (1 - FLOOR) * (scaled + PRIOR) / (F.col("raw") + PRIOR))
     # one row of totals beside at most ``buckets`` rows
     return (counts.join(F.broadcast(totals))
             .select("bucket", F.round(ratio * 1_000_000).cast("long").alias("weight")))
 
 
 def judge(docs: DataFrame, trusted: DataFrame, threshold: int = THRESHOLD,
-          buckets: int = BUCKETS, max_trusted: int = MAX_TRUSTED) -> DataFrame:
+          buckets: int = BUCKETS) -> DataFrame:
     """One row per row of ``docs``: doc_id, text_hash, the base columns, llr, base_failed, kept.
 
     ``llr`` is the mean weight of the n-grams in millionths, zero where there are none.
     Defined cases: a null text has no words and fails the base rules; repeated rows are judged
-    one by one; a null doc_id is kept in the result; without trusted documents only the
-    smoothing remains and texts are judged by rarity; an empty table gives no rows.
+    one by one; a null doc_id is kept in the result; without trusted documents every
+    weight is zero and the base rules alone decide; an empty table gives no rows.
     """
     base = statistics(docs).withColumn("text_hash", F.xxhash64("text"))
     carried = ["doc_id", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -142,7 +146,7 @@ def judge(docs: DataFrame, trusted: DataFrame, threshold: int = THRESHOLD,
                  F.array(F.lit(-1).cast("long")), _ngrams(F.col("h"), buckets))).alias("bucket"))
              .where("bucket IS NOT NULL"))
     # the weights have at most ``buckets`` rows of two longs
-    weighted = grams.join(F.broadcast(weights(docs, trusted, buckets, max_trusted)),
+    weighted = grams.join(F.broadcast(weights(docs, trusted, buckets)),
                           "bucket", "left")
     judged = weighted.groupBy("row").agg(
         F.sum("weight").alias("total"), (F.count("*") - 1).alias("grams"),
