@@ -4,7 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from tidewatch.llm import quality
+from test_brute import distance
+from tidewatch.llm import decontaminate, quality
 
 
 def test_quality_of_a_large_corpus(spark):
@@ -29,3 +30,25 @@ def test_quality_counts_every_trusted_document(spark):
                                  F.when(F.col("id") > 0, "a b").otherwise("c d").alias("text"))
     found = {r.weight for r in quality.weights(docs, docs.select("doc_id")).collect()}
     assert found == {0}  # the trusted documents are the corpus
+
+
+def test_leaks_of_items_of_every_length():
+    pick = random.Random(8)
+    for m in list(range(10, 82)) * 3:
+        item = "".join(pick.choices("abcdefghijkl", k=m))
+        leak, k = list(item), m // 10
+        for at in pick.sample(range(m), k):
+            leak[at] = pick.choice(["", "x", leak[at] + "y"])
+        text = f"some words {''.join(leak)} and more".encode()
+        edits = distance(item.encode(), text)
+        got = decontaminate.search(decontaminate.build_index([(1, item)]), text)
+        assert edits <= k and [(r[0], r[3]) for r in got] == [(1, edits)], (item, text)
+
+
+def test_leaks_of_words():
+    def found(item, text):
+        return bool(decontaminate.search(decontaminate.build_index([(1, item)]), text.lower().encode()))
+
+    assert found("Why?", "And why? I ask.") and found("Is it", "is it") and found("x", "(x)")
+    assert not found("Why?", "Nowhy?") and not found("is it", "this item") and not found("x", "")
+    assert found("is it", "this it, is it") and not found("nine byte", "nine bite")

@@ -1,8 +1,9 @@
 """Benchmark decontamination: q-gram counts in diagonal bands, then banded alignment.
 
 A benchmark item of m bytes leaks into a text if some part of the text is within k edits of the
-whole item, k a fixed share of m. Texts and items are compared in lower case (A-Z) with words
-joined by single spaces.
+whole item, k a fixed share of m. An item too short for an edit leaks if a text holds it between
+word borders. Texts and items are compared in lower case (A-Z) with words joined by single spaces.
+The length q of an item's q-grams is 8, or less where k edits could destroy all of them.
 
 1. *Seeds.* Of the disjoint q-grams of an item, k edits destroy k at most. Seeds found in a text
    name an item and a diagonal (place in the text less place in the item), and the surviving
@@ -19,6 +20,7 @@ all texts with all items.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,8 +34,10 @@ from .common import documents
 Q = 8
 #: Edits allowed for each byte of an item.
 EDIT_SHARE = 0.1
-#: Items of fewer bytes say too little to tell a leak by and are left out.
-MIN_BYTES = 32
+#: Empty items are left out.
+MIN_BYTES = 1
+#: Items of fewer bytes leak only without edits and between word borders.
+EDITED_BYTES = 10
 #: Bytes of benchmark text that one pass over the documents holds; a larger set takes more passes.
 BLOCK_BYTES = 8 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -44,16 +48,31 @@ def normalise(text: bytes) -> bytes:
     return b" ".join(text.lower().split())
 
 
-def grams(data: bytes) -> np.ndarray:
-    """Every run of ``Q`` = 8 bytes as a number."""
-    if len(data) < Q:
+def grams(data: bytes, q: int = Q) -> np.ndarray:
+    """Every run of ``q`` bytes, 8 at most, as a number."""
+    if len(data) < q:
         return np.empty(0, dtype="<u8")
-    return np.ndarray(shape=(len(data) - Q + 1,), dtype="<u8", buffer=data, strides=(1,))
+    runs = np.ndarray(shape=(len(data) - q + 1,), dtype="<u8", buffer=data + bytes(8 - q),
+                      strides=(1,))
+    return runs if q == 8 else runs & np.uint64((1 << 8 * q) - 1)
 
 
 def edits(item: bytes, share: float = EDIT_SHARE) -> int:
-    """The edit budget; small enough for the lemma to ask for one shared q-gram at least."""
-    return max(0, min(int(len(item) * share), (len(item) - Q) // Q - 1))
+    """The edit budget, less than the whole item."""
+    return 0 if len(item) < EDITED_BYTES else min(int(len(item) * share), len(item) - 1)
+
+
+def gram_length(item: bytes, k: int) -> int:
+    """The greatest q up to ``Q`` for which ``k`` edits leave a q-gram, and a disjoint one."""
+    return min(Q, len(item) // (k + 1))
+
+
+def bounded(item: bytes) -> re.Pattern:
+    """Finds ``item`` where neither end is within a word."""
+    letter = rb"[0-9a-z\x80-\xff]"
+    return re.compile((rb"(?<!%s)" % letter if re.match(letter, item) else b"")
+                      + re.escape(item)
+                      + (rb"(?!%s)" % letter if re.match(letter, item[-1:]) else b""))
 
 
 def banded_distance(item: bytes, text: bytes, start: int, k: int) -> tuple[int, int, int]:
@@ -94,9 +113,11 @@ def banded_distance(item: bytes, text: bytes, start: int, k: int) -> tuple[int,
 
 @dataclass
 class Index:
-    """The seeds of a block of items, sorted by q-gram."""
+    """The seeds of those items of a block whose q-grams have ``q`` bytes, sorted by q-gram."""
+    q: int
     ids: list[int]
     texts: list[bytes]
+    short: np.ndarray
     budgets: np.ndarray
     needed: np.ndarray
     seeds: np.ndarray
@@ -106,26 +127,32 @@ class Index:
     present: np.ndarray
 
 
-def build_index(items: list[tuple[int, str]], share: float = EDIT_SHARE) -> Index:
-    """The disjoint q-grams of ``items``, with the number that a leak leaves intact."""
-    ids, texts, budgets, needed, rows = [], [], [], [], []
+def build_index(items: list[tuple[int, str]], share: float = EDIT_SHARE) -> list[Index]:
+    """The disjoint q-grams of ``items``, with the number that a leak leaves intact, for each q."""
+    by: dict[int, list[tuple[int, bytes, int]]] = {}
     for item_id, text in items:
         raw = normalise((text or "").encode())
-        if len(raw) < MIN_BYTES:
-            continue
-        k, all_grams = edits(raw, share), grams(raw)
-        used = range(0, len(all_grams), Q)
-        rows += [(int(all_grams[p]), len(ids), p) for p in used]
-        ids.append(item_id)
-        texts.append(raw)
-        budgets.append(k)
+        if len(raw) >= MIN_BYTES:
+            k = edits(raw, share)
+            by.setdefault(gram_length(raw, k), []).append((item_id, raw, k))
+    return [_index(q, found) for q, found in sorted(by.items())]
+
+
+def _index(q: int, items: list[tuple[int, bytes, int]]) -> Index:
+    needed, rows = [], []
+    for o, (_, raw, k) in enumerate(items):
+        all_grams = grams(raw, q)
+        used = range(0, len(all_grams), q)
+        rows += [(int(all_grams[p]), o, p) for p in used]
         needed.append(len(used) - k)
     rows.sort()
     keys = np.array([r[0] for r in rows], dtype="<u8")
     seeds, first = np.unique(keys, return_index=True)
     present = np.zeros(1 << FILTER_BITS, dtype=bool)
     present[_slot(seeds)] = True
-    return Index(ids, texts, np.array(budgets, np.int64), np.array(needed, np.int64), seeds,
+    return Index(q, [r[0] for r in items], [r[1] for r in items],
+                 np.array([len(r[1]) < EDITED_BYTES for r in items], bool),
+                 np.array([r[2] for r in items], np.int64), np.array(needed, np.int64), seeds,
                  np.append(first, len(rows)), np.array([r[1] for r in rows], np.int64),
                  np.array([r[2] for r in rows], np.int64), present)
 
@@ -155,11 +182,11 @@ def _bands(index: Index, owner: np.ndarray, place: np.ndarray, diagonal: np.ndar
             for o, t in zip(owner[starts[enough]], tile[starts[enough]])]
 
 
-def _shared(item: bytes, text: bytes, low: int, high: int) -> int:
+def _shared(item: bytes, text: bytes, low: int, high: int, q: int) -> int:
     """Places of the item whose q-gram the text has on a diagonal from ``low`` to ``high``."""
     base = max(0, low)
-    part = grams(text[base:high + len(item) + 1])
-    wanted, inverse = np.unique(grams(item), return_inverse=True)
+    part = grams(text[base:high + len(item) + 1], q)
+    wanted, inverse = np.unique(grams(item, q), return_inverse=True)
     at = np.searchsorted(wanted, part)
     hit = np.flatnonzero(wanted[np.minimum(at, len(wanted) - 1)] == part)
     order = np.argsort(inverse, kind="stable")
@@ -172,9 +199,13 @@ def _shared(item: bytes, text: bytes, low: int, high: int) -> int:
     return len(np.unique(places[(diagonals >= low) & (diagonals <= high)]))
 
 
-def search(index: Index, text: bytes) -> list[tuple[int, int, int, int]]:
+def search(indexes: list[Index], text: bytes) -> list[tuple[int, int, int, int]]:
     """(item_id, from, to, edits) of the best region of each item that leaks into ``text``."""
-    part = grams(text)
+    return [leak for index in indexes for leak in _search(index, text)]
+
+
+def _search(index: Index, text: bytes) -> list[tuple[int, int, int, int]]:
+    part = grams(text, index.q)
     maybe = np.flatnonzero(index.present[_slot(part)])
     if not len(maybe):
         return []
@@ -186,12 +217,18 @@ def search(index: Index, text: bytes) -> list[tuple[int, int, int, int]]:
     entry = index.first[at][rows] + np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
     owner, place = index.owner[entry], index.place[entry]
     best: dict[int, tuple[int, int, int]] = {}
+    short = index.short[owner]
+    for o in np.unique(owner[short]).tolist():
+        found = bounded(index.texts[o]).search(text)
+        if found:
+            best[o] = (0, *found.span())
+    rows, owner, place = rows[~short], owner[~short], place[~short]
     for o, low, high in _bands(index, owner, place, maybe[rows] - place):
         item, k = index.texts[o], int(index.budgets[o])
         if o in best and best[o][0] == 0:
             continue
         # the true alignment starts up to k before or after the diagonals of its seeds
-        if _shared(item, text, low - k, high + k) < len(item) + 1 - Q - k * Q:
+        if _shared(item, text, low - k, high + k, index.q) < len(item) + 1 - (k + 1) * index.q:
             continue
         at = text.find(item, max(0, low - k), high + k + len(item) + 1)
         if at >= 0:  # the alignment without edits
@@ -210,7 +247,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = EDIT_SHARE,
 
     ``start`` and ``end`` count bytes of the normalised text. ``benchmark`` (item_id, text) is
     the query set: it is split by hash into blocks of about ``block_bytes``, and each block is
-    searched in all documents. Defined cases: null, empty and short items and texts match nothing;
+    searched in all documents. Defined cases: null and empty items and texts match nothing;
     repeated rows give repeated leaks; equal items are all reported; a null doc_id or item_id stays
     null; empty tables give no rows; other columns are ignored.
     """
@@ -226,15 +263,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = EDIT_SHARE,
             build_index([(r.item_id, r.text) for r in rows], share))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = shared.value
+            indexes = shared.value
             for batch in batches:
                 found = []
                 ids = batch.column("doc_id")
                 for i, x in enumerate(batch.column("text").cast(pa.large_binary())):
                     text = x.as_py()
-                    if text and index.ids:
+                    if text and indexes:
                         found += [(ids[i].as_py(), *leak)
-                                  for leak in search(index, normalise(text))]
+                                  for leak in search(indexes, normalise(text))]
                 yield pa.RecordBatch.from_pydict(
                     {c: pa.array([r[j] for r in found], pa.int64())
                      for j, c in enumerate(("doc_id", "item_id", "start", "end", "edits"))})
