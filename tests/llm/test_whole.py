@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from test_brute import distance
-from tidewatch.llm import decontaminate, quality
+from tidewatch.llm import decontaminate, quality, secrets
 
 
 def test_quality_of_a_large_corpus(spark):
@@ -52,3 +52,17 @@ def test_leaks_of_words():
     assert found("Why?", "And why? I ask.") and found("Is it", "is it") and found("x", "(x)")
     assert not found("Why?", "Nowhy?") and not found("is it", "this item") and not found("x", "")
     assert found("is it", "this it, is it") and not found("nine byte", "nine bite")
+
+
+def test_secrets_of_any_form_behind_a_keyword(spark):
+    texts = {1: 'password = "Winter2024"', 2: "db_pwd=P@ssw0rd! and more", 3: "auth: user:pw@host",
+             4: '{"api_key": "x1",', 5: "token := ab;", 6: "a plain Winter2024 text: P@ssw0rd!",
+             7: "secret=0123456789abcdef0123", 8: 'password = ""', 9: "passwd\n= a\u00e9b"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").withColumn(
+        "path", F.lit("p"))
+    found = secrets.features(secrets.findings(docs), secrets.dictionary(docs))
+    got = secrets.scan(found, None).collect()
+    assert sorted((r.doc_id, r.candidate) for r in got) == [
+        (1, "Winter2024"), (2, "P@ssw0rd!"), (3, "user:pw@host"), (4, "x1"), (5, "ab"),
+        (7, "0123456789abcdef0123"), (9, "a\u00e9b")]
+    assert found.where("keyword_before = 1 AND assigned = 1 AND coverage BETWEEN 0 AND 1").count() == 7

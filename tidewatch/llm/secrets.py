@@ -1,7 +1,8 @@
 """Secret scans: candidate strings, judged by a random forest.
 
-A candidate is a word with a run of ``MIN_LENGTH`` or more characters that keys are made of. Most
-candidates are harmless: long words, numbers, addresses. The forest tells them from secrets by the
+A candidate is a run of ``MIN_LENGTH`` or more characters that keys are made of, or what a keyword
+and an assignment sign stand before: any non-blank characters, however few. Most candidates are
+harmless: long words, numbers, addresses. The forest tells them from secrets by the
 length of the run, the changes between kinds of characters in it, the share of it that
 dictionary pieces cover, the path of the text and the words around it. It is trained from
 labelled findings. All of it runs in the JVM.
@@ -25,6 +26,11 @@ PIECE = 4
 #: Labelled findings that training takes at most, by hash.
 MAX_FINDINGS = 20_000
 KEYWORDS = r"(?i)(secret|token|passw|passwd|pwd|api|auth|bearer|credential|private|access|key)"
+#: A keyword, the rest of its name and an assignment sign, with a blank around the sign or none.
+ASSIGNMENT = KEYWORDS + r"[\w.-]*+[\"'\])]*+[\x20\x09-\x0D]*+(?::=|=>|==?|:)"
+#: The value at the end of three words joined by spaces; group 2, quotes and commas behind included.
+ASSIGNED = ASSIGNMENT + r"\x20?[\"'`]*([^\x20\x09-\x0D=:>\"'`][^\x20\x09-\x0D]*)$"
+CLOSING = r"([\"'`][),;\]}]*|[,;]+)$"
 FEATURES = ["length", "changes", "digit_share", "upper_share", "vowel_share", "distinct_share",
             "coverage", "path_depth", "path_config", "path_test", "keyword_before", "assigned",
             "quoted", "known_before", "known_after"]
@@ -38,21 +44,37 @@ def findings(docs: DataFrame) -> DataFrame:
     words = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.coalesce(F.col("path").cast("string"), F.lit("")).alias("path"),
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    # texts without a run long enough need not be split
-    words = words.where(F.col("text").rlike(RUN)).select(
+    # texts without a run long enough and without an assignment need not be split
+    words = words.where(F.col("text").rlike(RUN) | F.col("text").rlike(ASSIGNMENT)).select(
         "doc_id", "path", F.split("text", SEPARATORS).alias("words"))
     w = F.col("words")
-    some = F.filter(F.transform(w, lambda x, i: F.when(x.rlike(RUN), i)), lambda i: i.isNotNull())
     at = F.col("place")
 
+    def near(x: Column, i: Column) -> Column:
+        return F.concat_ws(" ", F.get(w, i - 2), F.get(w, i - 1), x)
+
+    def some_at(x: Column, i: Column) -> Column:
+        signed = x.rlike("[=:]") | F.coalesce(F.get(w, i - 1), F.lit("")).rlike("[=:]>?$")
+        return F.when(x.rlike(RUN) | (signed & near(x, i).rlike(ASSIGNED)), i)
+
+    some = F.filter(F.transform(w, some_at), lambda i: i.isNotNull())
+
     def word(offset: int) -> Column:
         return F.coalesce(F.get(w, at + offset), F.lit(""))
 
+    runs = F.regexp_extract_all("word", F.lit(RUN), 0)
+
     return (words.withColumn("place", F.explode(some))
             .select("doc_id", "path", "place",
                     F.concat_ws(" ", word(-2), word(-1)).alias("before"),
                     word(0).alias("word"), word(1).alias("after"))
-            .select("*", F.explode(F.regexp_extract_all("word", F.lit(RUN), 0)).alias("candidate")))
+            .withColumn("value", F.regexp_replace(F.regexp_extract(
+                F.concat_ws(" ", "before", "word"), ASSIGNED, 2), CLOSING, ""))
+            # a value that is a run is there once
+            .select("*", F.explode(F.concat(runs, F.when(
+                (F.col("value") != "") & ~F.array_contains(runs, F.col("value")),
+                F.array("value")).otherwise(F.array().cast("array<string>")))).alias("candidate"))
+            .drop("value"))
 
 
 def dictionary(docs: DataFrame, max_pieces: int = MAX_PIECES) -> DataFrame:
@@ -97,7 +119,7 @@ def features(found: DataFrame, pieces: DataFrame) -> DataFrame:
         F.substring(F.lower("after"), 1, PIECE).alias("piece_after")))
     known = F.broadcast(pieces.withColumn("known", F.lit(1)))  # max_pieces rows at most
     # places of the candidate that lie in a piece of the dictionary
-    spread = base.select("row", F.posexplode(F.transform(
+    spread = base.where(F.length("candidate") >= PIECE).select("row", F.posexplode(F.transform(
         F.sequence(F.lit(1), F.length("candidate") - PIECE + 1),
         lambda i: F.lower(F.substring(F.col("candidate"), i, F.lit(PIECE))))).alias("at", "piece"))
     covered = (spread.join(known, "piece")
