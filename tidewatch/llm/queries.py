@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, pii, quality, secrets, simhash, suffixes, toxicity, urls
+from . import (bpe, chat, codes, decontaminate, merkle, minhash, oracles, pii, quality, secrets, simhash,
+               suffixes, toxicity, urls)
 from ..session import cut_lineage
 from .common import table
 
@@ -152,6 +153,18 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=5, percent=85)
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.digests(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffixes": op1_suffixes,
     "op2_secrets": op2_secrets,
@@ -163,6 +176,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_chat": op9_chat,
     "op10_bpe": op10_bpe,
+    "op11_minhash": op11_minhash,
+    "op12_merkle": op12_merkle,
+    "op13_codes": op13_codes,
 }
 
-ORACLES: dict[str, str] = {"op6_urls": URLS_SQL}
+ORACLES: dict[str, str] = {"op6_urls": URLS_SQL, "op12_merkle": oracles.merkle_sql(),
+                           "op13_codes": oracles.codes_sql()}
