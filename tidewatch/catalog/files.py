@@ -7,6 +7,7 @@ from uuid import uuid4
 from pyspark.sql import functions as F
 
 from ..operators import feeds, joins, quality
+from ..plans import staging
 from ..session import workspace
 from ..sources import raw, tables
 from . import query
@@ -67,6 +68,55 @@ def dynamic_overwrite(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query("compact_files", """
+SELECT doc_id, lang, source, n_chars, md5(text) AS body FROM documents""")
+def compact_files(spark, sf_dir):
+    """Sixty small files of documents, packed into a few by their size."""
+    docs = read(spark, sf_dir, "documents")
+    small, packed = workspace(spark, "small"), workspace(spark, "packed")
+    tables.compact_json(docs, small, shards=60)
+    tables.compact_files(spark, small, packed, shard_bytes=1 << 20, compression="gzip")
+    back = spark.read.schema(docs.schema).json(packed)
+    return back.select("doc_id", "lang", "source", "n_chars", F.md5("text").alias("body"))
+
+
+@query("publish_partitions", """
+SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year_published,
+  CASE WHEN year(o_orderdate) = 1998 THEN 'new' ELSE o_orderstatus END AS status FROM orders
+WHERE year(o_orderdate) <> 1996 AND NOT (year(o_orderdate) = 1998 AND o_orderstatus = 'P')""")
+def publish_partitions(spark, sf_dir):
+    """One year is replaced and one goes, each at once for who reads the table."""
+    name, root = f"published_{uuid4().hex}", workspace(spark, "published")
+    rows = read(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_orderstatus").alias("status"),
+        F.year("o_orderdate").alias("year_published"))
+    parts = ["year_published"]
+    tables.publish_partitions(rows, name, parts, root, "1", rows.select(*parts).distinct())
+    changed = rows.filter("year_published = 1998 AND status <> 'P'").withColumn("status", F.lit("new"))
+    touched = spark.createDataFrame([(1996,), (1998,)], "year_published int")
+    for _ in range(2):  # a run can be repeated
+        tables.publish_partitions(changed, name, parts, root, "2", touched)
+    return spark.table(name)
+
+
+@query("staging_counts", """
+SELECT 'read' AS stage, count(*) AS records FROM events
+UNION ALL SELECT 'available', count(*) FILTER (value > 1) FROM events""")
+def staging_counts(spark, sf_dir):
+    """What the staging job has stored about its first stages."""
+    events = read(spark, sf_dir, "events")
+    stamp = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+    record = F.to_json(F.struct(
+        F.date_format("ts", "yyyy-MM-dd").alias("ingestionDate"), stamp.alias("ingestionTimestamp"),
+        F.col("event_type").alias("vendor"), F.col("user_id").cast("string").alias("product"),
+        (F.col("value") > 1).alias("cveDataAvailable"),
+        F.array(F.array(F.concat(F.lit("CVE-"), F.col("event_id").cast("string")), "props")).alias("cvelistv5")))
+    path, name = workspace(spark, "raw"), uuid4().hex
+    events.select(record.alias("value")).write.text(path)
+    staging.stage_day(spark, path, f"staged_{name}", counts=f"counts_{name}")
+    return spark.table(f"counts_{name}").filter("position < 2").select("stage", "records")
+
+
 @query("append_table", """
 SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS day FROM events""")
 def append_table(spark, sf_dir):

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import history, joins
+from ..plans import master
 from ..schemas import KEYS
-from ..session import cut_lineage
+from ..session import cut_lineage, workspace
 from . import query
 from .tables import ntz, read
 
@@ -123,6 +124,37 @@ def scd2_hash(spark, sf_dir):
                                 KEYS, ["lastModified", "o_orderkey"], cut=cut_lineage)
 
 
+def _in_place(spark, first, batch, ends):
+    """``first`` laid out by years on disk, after ``batch``."""
+    root = workspace(spark, "history")
+    master.start_history(first, root, "lastModified")
+    master.apply_batch(spark, root, batch, 1, ends, KEYS, "lastModified")
+    return master.read_history(spark, root, first.schema)
+
+
+_FILED = """SELECT *, CAST(CASE WHEN "currentFlag" THEN 0 WHEN "validTo" = TIMESTAMP '2023-06-01' THEN -1 ELSE 1 END AS INTEGER) AS ended_in,
+  CAST(year("lastModified") AS INTEGER) AS year_published FROM"""
+
+
+@query("scd2_partitioned", f"WITH {_TARGET}, {_BATCH}, {_expired(_LATER)} {_FILED} ({_INSERTED})")
+def scd2_partitioned(spark, sf_dir):
+    batch = joins.latest_per_key(batch_rows(spark, sf_dir), KEYS, ["lastModified", "o_orderkey"])
+    return _in_place(spark, target_rows(spark, sf_dir), batch.drop("o_orderkey"),
+                     history.later_modified("lastModified"))
+
+
+@query("scd2_hash_partitioned", f"""WITH {_TARGET.replace('target AS', 'plain AS')}, {_BATCH.replace('batch AS', 'latest AS')},
+target AS (SELECT *, {_HASHED} AS row_hash FROM plain),
+batch AS (SELECT *, {_HASHED} AS row_hash FROM latest),
+{_expired('t.row_hash <> s.row_hash')} {_FILED} ({_INSERTED})""")
+def scd2_hash_partitioned(spark, sf_dir):
+    hashed = lambda df: df.withColumn(
+        "row_hash", history.row_hash(["vendor", "score", "lastModified"]))
+    batch = joins.latest_per_key(batch_rows(spark, sf_dir), KEYS, ["lastModified", "o_orderkey"])
+    return _in_place(spark, hashed(target_rows(spark, sf_dir)), hashed(batch).drop("o_orderkey"),
+                     history.other_hash)
+
+
 @query("merge_upsert", f"""WITH {_TARGET}, {_BATCH}
 SELECT t.* FROM target t LEFT JOIN batch s ON {_SAME}
 WHERE s.vendor IS NULL OR NOT coalesce(t."lastModified" <> s."lastModified", FALSE)

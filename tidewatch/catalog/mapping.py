@@ -38,12 +38,16 @@ def _side(spark, sf_dir, feed, when, at):
     return ops.id_pairs(rows.select("vendor", "product", "cve"), ntz(at))
 
 
+_OLD = "l_shipdate < TIMESTAMP_NTZ '2001-05-01'"
+_NEW = "l_shipdate >= TIMESTAMP_NTZ '1995-03-01'"
+
+
 def old_side(spark, sf_dir, feed=None):
-    return _side(spark, sf_dir, feed, F.col("l_shipdate") < ntz("2001-05-01"), "2025-05-01")
+    return _side(spark, sf_dir, feed, _OLD, "2025-05-01")
 
 
 def new_side(spark, sf_dir, feed=None):
-    return _side(spark, sf_dir, feed, F.col("l_shipdate") >= ntz("1995-03-01"), "2025-05-03")
+    return _side(spark, sf_dir, feed, _NEW, "2025-05-03")
 
 
 def all_pairs(spark, sf_dir):
@@ -69,6 +73,33 @@ def id_set_chunks(spark, sf_dir):
         F.sum(F.size("cves")).alias("n"), F.sum(total).alias("ids"))
 
 
+def _in_order(packed, ids):
+    return packed.select("vendor", "product", "chunk", F.array_join(ids, ",").alias("ids"))
+
+
+@query("id_set_order", f"""WITH {_PAIRS}, n AS (SELECT vendor, product, cve,
+    (row_number() OVER (PARTITION BY vendor, product ORDER BY cve) - 1) // 8 AS chunk
+  FROM (SELECT DISTINCT vendor, product, cve FROM pairs))
+SELECT vendor, product, chunk, string_agg(cve::VARCHAR, ',' ORDER BY cve) AS ids FROM n GROUP BY ALL""")
+def id_set_order(spark, sf_dir):
+    packed = ops.pack_id_sets(all_pairs(spark, sf_dir), per_row=8)
+    return _in_order(packed, F.col("cves").cast("array<string>"))
+
+
+@query("pair_document_order", f"""WITH {_PAIRS}, n AS (SELECT vendor, product, cve, o_orderpriority AS body,
+    coalesce(sum(length(cve::VARCHAR) + length(o_orderpriority)) OVER (PARTITION BY vendor, product ORDER BY cve
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 100 AS chunk
+  FROM (SELECT DISTINCT vendor, product, cve FROM pairs) JOIN orders ON cve = o_orderkey WHERE o_orderstatus <> 'P')
+SELECT vendor, product, chunk::BIGINT AS chunk, string_agg(cve || '=' || body, ',' ORDER BY cve) AS ids FROM n GROUP BY ALL""")
+def pair_document_order(spark, sf_dir):
+    """The documents of each key in order, chunk by chunk of at most 200 bytes."""
+    docs = read(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'").select(
+        F.col("o_orderkey").alias("cve"), F.col("o_orderpriority").alias("document"))
+    sets = ops.pack_by_bytes(all_pairs(spark, sf_dir), docs, max_bytes=200)
+    paired = ops.pair_documents(sets, docs)
+    return _in_order(paired, F.transform("pairs", lambda p: F.concat(p[0], F.lit("="), p[1])))
+
+
 _DIFF = """
 SELECT vendor, product, count(*) FILTER (n AND NOT o) AS added, count(*) FILTER (o AND NOT n) AS removed
 FROM (SELECT vendor, product, cve, bool_or(in_old) AS o, bool_or(in_new) AS n FROM pairs {where}
@@ -113,10 +144,15 @@ SELECT sha256('["' || vendor || '","' || product || '","{_RUN}"]') AS message_id
   '{{"vendor":"' || vendor || '","product":"' || product || '","ingestionTimestamp":"{_RUN}"}}' AS body
 FROM keys""")
 def change_feed(spark, sf_dir):
-    moved = [ops.snapshot_diff(new_side(spark, sf_dir, f), old_side(spark, sf_dir, f))
-             for f in ("nvd", "cvelistv5")]
-    touched = ops.touching(new_side(spark, sf_dir), changed_ids(spark, sf_dir))
-    return ops.change_feed([*moved, touched], _RUN)
+    """Both feeds at once: each build is read once, whatever the number of feeds."""
+    def side(when, at):
+        rows = raw_pairs(spark, sf_dir).filter(when)
+        tagged = rows.select("vendor", "product", "cve", (F.col("l_returnflag") != "N").alias("feed"))
+        return ops.id_pairs(tagged, ntz(at), ["feed"])
+
+    keys = ops.changed_keys(side(_NEW, "2025-05-03"), side(_OLD, "2025-05-01"),
+                            changed_ids(spark, sf_dir), ["feed"])
+    return ops.change_feed([keys], _RUN)
 
 
 @query("build_meta", f"""WITH {_PAIRS}
@@ -132,12 +168,7 @@ def build_meta(spark, sf_dir):
 SELECT 'vendor' AS kind, vendor AS name FROM pairs WHERE in_old OR in_new
 UNION SELECT 'product', product FROM pairs WHERE (in_old OR in_new) AND vendor = 'brand#7'""")
 def browse_distinct(spark, sf_dir):
-    maps = [old_side(spark, sf_dir), new_side(spark, sf_dir)]
-    vendors = ops.browse_vendors(*maps).select(F.lit("vendor").alias("kind"),
-                                               F.col("vendor").alias("name"))
-    products = ops.browse_products("brand#7", *maps).select(F.lit("product").alias("kind"),
-                                                            F.col("product").alias("name"))
-    return vendors.unionByName(products)
+    return ops.browse_lists("brand#7", old_side(spark, sf_dir), new_side(spark, sf_dir))
 
 
 @query("baseline_build", """
@@ -173,6 +204,17 @@ def batch_ids(spark, sf_dir):
         F.max("event_id").alias("last_id"))
 
 
+@query("full_batches", """
+WITH n AS (SELECT event_id, (row_number() OVER (ORDER BY ts, event_id) - 1) // 10 AS batch FROM events)
+SELECT batch, count(*) AS n, string_agg(event_id::VARCHAR, ',' ORDER BY event_id) AS ids FROM n GROUP BY batch""")
+def full_batches(spark, sf_dir):
+    rows = read(spark, sf_dir, "events").select("event_id", "ts")
+    batched = ops.full_batches(rows, 10, ["ts", "event_id"])
+    return batched.groupBy("batch").agg(
+        F.count("*").alias("n"),
+        F.array_join(F.sort_array(F.collect_list("event_id")).cast("array<string>"), ",").alias("ids"))
+
+
 @query("hierarchy_sets", r"""
 WITH c AS (SELECT CASE p_size % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'o' ELSE 'h' END AS kind,
     CASE WHEN p_size % 4 = 0 THEN 'x\:' ELSE '' END || lower(p_brand) AS vendor,

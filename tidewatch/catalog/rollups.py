@@ -127,6 +127,22 @@ def threshold_stats(spark, sf_dir):
     return thresholds.threshold_stats(levels(spark, sf_dir))
 
 
+@query("threshold_stats_by_id", f"""WITH {findings_sql()},
+by_day AS (SELECT vendor, product, date_published, cve, max(weight) AS weight FROM findings GROUP BY ALL),
+by_year AS (SELECT vendor, year_published, cve, max(weight) AS weight FROM findings GROUP BY ALL),
+levels AS (SELECT 'daily_product' AS level, round(sum(weight), 2) AS threat_index FROM by_day GROUP BY vendor, product, date_published
+  UNION ALL SELECT 'ytd_vendor', round(sum(weight), 2) FROM by_year GROUP BY vendor, year_published),
+q AS (SELECT level, count(*) AS total_count, min(threat_index) AS min_val, max(threat_index) AS max_val,
+    quantile_disc(threat_index, [0.25, 0.5, 0.75]) AS q FROM levels GROUP BY level)
+SELECT level, total_count, min_val, max_val, round(q[1], 2) AS p25, round(q[2], 2) AS median, round(q[3], 2) AS p75,
+  ceil(q[1]) AS low_threshold, ceil(q[2]) AS med_threshold, ceil(q[3]) AS high_threshold FROM q""")
+def threshold_stats_by_id(spark, sf_dir):
+    """Every CVE adds its weight, so a level has about as many values as rows."""
+    rows = enriched(spark, sf_dir)
+    by_id = {v: ops.rollup(rows, v, dedupe="id") for v in ("daily_product", "ytd_vendor")}
+    return thresholds.threshold_stats(thresholds.union_levels(by_id))
+
+
 @query("bucket_counts", f"WITH {BUCKETS_CTE} SELECT * FROM buckets")
 def bucket_counts(spark, sf_dir):
     rows = cut_lineage(levels(spark, sf_dir), "levels")  # read by both sides

@@ -55,3 +55,34 @@ def feed_drained(spark, sf_dir):
         stream = files.read_new_files(spark, sent, feed.schema)
         files.drain_messages(stream, out, checkpoint, time="at").awaitTermination()
     return spark.read.schema("body string").parquet(out)
+
+
+_HALF = "TIMESTAMP '2024-01-15 00:00:00'"
+
+
+@query("feed_late", f"""
+WITH e AS (SELECT user_id || '-' || event_type AS message_id, ts AS sent_at FROM events),
+b1 AS (SELECT message_id, min(sent_at) AS sent_at FROM e WHERE sent_at < {_HALF} GROUP BY ALL),
+h2 AS (SELECT max(sent_at) - INTERVAL 3 DAY AS h FROM e WHERE sent_at < {_HALF}),
+b2 AS (SELECT message_id, min(sent_at) AS sent_at FROM e WHERE sent_at >= {_HALF} AND message_id NOT IN (
+  SELECT message_id FROM b1, h2 WHERE CAST(sent_at AS DATE) >= CAST(h AS DATE)) GROUP BY ALL),
+h3 AS (SELECT max(sent_at) - INTERVAL 3 DAY AS h FROM e),
+b3 AS (SELECT message_id, min(sent_at) AS sent_at FROM e, h3 WHERE sent_at >= h AND message_id NOT IN (
+  SELECT message_id FROM (SELECT * FROM b1 UNION ALL SELECT * FROM b2) b, h3 WHERE CAST(sent_at AS DATE) >= CAST(h AS DATE)) GROUP BY ALL)
+SELECT 'accepted' AS kind, message_id, sent_at FROM (SELECT * FROM b1 UNION ALL SELECT * FROM b2 UNION ALL SELECT * FROM b3)
+UNION ALL SELECT 'late', message_id, sent_at FROM e, h3 WHERE sent_at < h""")
+def feed_late(spark, sf_dir):
+    """The first half of all messages, the second half, then all of them once more."""
+    sent, out, late, ids, checkpoint = (workspace(spark, n) for n in (
+        "sent", "accepted", "late", "ids", "checkpoint"))
+    messages = read(spark, sf_dir, "events").select(
+        F.concat_ws("-", F.col("user_id").cast("string"), "event_type").alias("message_id"),
+        F.col("ts").alias("sent_at"))
+    half = F.col("sent_at") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    for part in (half, ~half, F.lit(True)):
+        messages.filter(part).write.mode("append").parquet(sent)
+        stream = files.read_new_files(spark, sent, messages.schema)
+        files.drain_keeping_late(stream, out, late, ids, checkpoint, time="sent_at", delay="3 days").awaitTermination()
+    found = lambda kind, path: spark.read.schema(messages.schema).parquet(path).select(
+        F.lit(kind).alias("kind"), "message_id", "sent_at")
+    return found("accepted", out).unionByName(found("late", late))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..functions import nested, text
+from .prefix import running_sums
 
 MAP_KEYS = ["vendor", "product"]
 
@@ -53,30 +54,48 @@ def cpe_hierarchy(df: DataFrame, name: str = "cpeName") -> DataFrame:
               .filter("set_key IS NOT NULL AND member IS NOT NULL").distinct())
 
 
-def id_pairs(pairs: DataFrame, build_ts: Column) -> DataFrame:
-    """Cleaned, distinct (vendor, product, cve) rows of one build.
+def id_pairs(pairs: DataFrame, build_ts: Column, tags: list[str] = ()) -> DataFrame:
+    """Cleaned, distinct (vendor, product, cve) rows of one build, with the columns ``tags``.
 
     Keys are cleaned before they are grouped, so spellings of one key share a set.
     """
     return (pairs.select(text.clean_key(F.col("vendor")).alias("vendor"),
-                         text.clean_key(F.col("product")).alias("product"), "cve")
+                         text.clean_key(F.col("product")).alias("product"), "cve", *tags)
                  .dropna(subset=[*MAP_KEYS, "cve"]).distinct()
                  .withColumn("build_ts", build_ts))
 
 
 def pack_id_sets(pairs: DataFrame, per_row: int = 1_000) -> DataFrame:
-    """Long form to sorted arrays of about ``per_row`` ids; big keys span several chunks.
+    """Long form to sorted arrays of ``per_row`` ids; big keys span several chunks, in order of ids.
 
-    Only big keys are joined back for their number of chunks, and rows are grouped by chunk, so no
-    task sees a big key as a whole.
+    Chunks put end to end give the ids of a key in order. Ids are numbered by prefix sums over
+    ranges and grouped by chunk, so no task sees a big key as a whole.
     """
+    return _packed(pairs, F.lit(1), per_row)
+
+
+def pack_by_bytes(pairs: DataFrame, docs: DataFrame, max_bytes: int, ident: str = "cve",
+                  body: str = "document") -> DataFrame:
+    """As ``pack_id_sets``, for the documents of the ids: a chunk's ids and bodies stay within
+    ``max_bytes`` where no document has more than half of that, and else exceed half of it by no more
+    than one document.
+
+    Cut points come from prefix sums of sizes; the documents themselves are not moved. Ids without a
+    document are left out.
+    """
+    size = F.octet_length(F.col(ident).cast("string")) + F.coalesce(F.octet_length(body), F.lit(0))
+    sized = pairs.join(docs.select(ident, size.cast("bigint").alias("_bytes")), ident)
+    return _packed(sized, F.col("_bytes"), max(1, max_bytes // 2), ident)
+
+
+def _packed(pairs: DataFrame, amount: Column, limit: int, ident: str = "cve") -> DataFrame:
+    """A new chunk begins where the amounts before an id pass a multiple of ``limit``."""
     keys = [*MAP_KEYS, "build_ts"]
-    big = (pairs.groupBy(F.struct(*keys).alias("key"))
-           .agg(F.ceil(F.count("*") / per_row).alias("_chunks"))
-           .filter("_chunks > 1").select("key.*", "_chunks"))
-    chunk = F.coalesce(F.pmod(F.xxhash64("cve"), F.col("_chunks")), F.lit(0))
-    return (pairs.join(big, keys, "left").withColumn("chunk", chunk)
-            .groupBy(*keys, "chunk").agg(F.array_sort(F.collect_list("cve")).alias("cves")))
+    rows = pairs.select(*keys, ident, amount.cast("bigint").alias("_amount"))
+    placed = running_sums(rows, keys, [ident], {"_upto": F.col("_amount")})
+    chunk = F.floor((F.col("_upto") - F.col("_amount")) / limit).cast("bigint")
+    return (placed.withColumn("chunk", chunk).groupBy(*keys, "chunk")
+            .agg(F.array_sort(F.collect_list(ident)).alias("cves")))
 
 
 def build_meta(pairs: DataFrame, collection: str, meta: DataFrame | None = None) -> DataFrame:
@@ -101,6 +120,15 @@ def browse_products(vendor: str, *maps: DataFrame) -> DataFrame:
     return every.dropna().distinct().orderBy("product")
 
 
+def browse_lists(vendor: str, *maps: DataFrame) -> DataFrame:
+    """(kind, name): all vendors, and the products of one of them, from one pass over the maps."""
+    every = reduce(DataFrame.unionByName, [m.select(*MAP_KEYS) for m in maps])
+    entry = lambda kind, name: F.struct(F.lit(kind).alias("kind"), F.col(name).alias("name"))
+    wanted = F.when(F.col("vendor") == vendor, F.array(entry("vendor", "vendor"), entry("product", "product")))
+    return (every.select(F.explode(wanted.otherwise(F.array(entry("vendor", "vendor")))).alias("e"))
+            .select("e.*").filter("name IS NOT NULL").distinct())
+
+
 def newest_build(meta: DataFrame, collection: str) -> DataFrame:
     return meta.filter(F.col("collection") == collection).agg(F.max("ts").alias("ts"))
 
@@ -135,6 +163,22 @@ def snapshot_diff(new: DataFrame, old: DataFrame) -> DataFrame:
                                         F.count_if(~F.col("_in_new")).alias("removed"))
 
 
+def changed_keys(new: DataFrame, old: DataFrame, changed: DataFrame, feeds: list[str] = ()
+                 ) -> DataFrame:
+    """Keys whose id set differs between two builds, and keys of the new one that hold a changed id.
+
+    Several feeds go through at once: ``feeds`` names the columns that tell them apart. Each side is
+    read once, and one shuffle by key and id finds both kinds.
+    """
+    side = lambda df, is_new: df.select(*feeds, *MAP_KEYS, "cve", F.lit(is_new).alias("_new"))
+    # an id of both sides gives two rows for one key, however often it comes
+    found = (side(new, True).unionByName(side(old, False)).groupBy(*feeds, *MAP_KEYS, "cve")
+             .agg(F.max("_new").alias("_in_new"), F.min("_new").alias("_only_new")))
+    ids = changed.select("cve").distinct().withColumn("_changed", F.lit(True))
+    marked = found.join(ids, "cve", "left")
+    return marked.filter("_in_new = _only_new OR (_in_new AND _changed)").select(*MAP_KEYS).distinct()
+
+
 def touching(pairs: DataFrame, changed: DataFrame, ident: str = "cve") -> DataFrame:
     """Keys whose set holds one of the changed ids."""
     return pairs.join(changed, ident, "left_semi").select(*MAP_KEYS).distinct()
@@ -177,6 +221,15 @@ def batches_of(df: DataFrame, size: int, bucket: Column, order: list[str]) -> Da
     return spread.withColumn("batch", F.floor((rank - 1) / size))
 
 
+def full_batches(df: DataFrame, size: int, order: list[str]) -> DataFrame:
+    """Number all rows into batches of ``size`` in ``order``; only the last one can be smaller.
+
+    Two passes, the rows of each range and the rows of the ranges before; ``order`` must be unique.
+    """
+    numbered = running_sums(df, [], order, {"_place": F.lit(1).cast("bigint")})
+    return numbered.withColumn("batch", F.floor((F.col("_place") - 1) / size)).drop("_place")
+
+
 def fetch_by_ids(pairs: DataFrame, docs: DataFrame, ident: str = "cve") -> DataFrame:
     """Documents of the ids in a key's set."""
     return pairs.join(docs, ident)
@@ -186,7 +239,8 @@ def pair_documents(sets: DataFrame, docs: DataFrame, ident: str = "cve",
                    body: str = "document") -> DataFrame:
     """``[[id, document], ...]`` per key and chunk in id order; missing documents are skipped.
 
-    ``sets`` comes from ``pack_id_sets``, whose chunks bound what a task collects.
+    ``sets`` comes from ``pack_by_bytes``, whose chunks bound what a task collects, or from
+    ``pack_id_sets``, which bounds the number of documents. Chunks of a key follow each other.
     """
     keys = [c for c in sets.columns if c != "cves"]
     ids = sets.select(*keys, F.posexplode("cves").alias("_pos", ident))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,7 +20,7 @@ ALL_VIEWS = [f"{grain}_{level}" for grain in GRAIN_KEYS for level in LEVEL_KEYS]
 MEASURES = ["total_cves", "threat_index", "critical_count", "high_count", "medium_count",
             "low_count", "network_threat_index", "network_cves", "no_ui_cves", "low_priv_cves",
             "fully_critical_cves"]
-_COUNTED = {
+CONDITIONS = {
     "critical_count": "severity = 'Critical'",
     "high_count": "severity = 'High'",
     "medium_count": "severity = 'Medium'",
@@ -45,7 +46,7 @@ def common_aggs() -> list[Column]:
     not once per measure; ids and weights are de-duplicated before and after the shuffle.
     """
     counted = {name: F.expr(f"count(DISTINCT cveId) FILTER (WHERE {when})")
-               for name, when in _COUNTED.items()}
+               for name, when in CONDITIONS.items()}
     measures = {
         "total_cves": F.expr("count(DISTINCT cveId)"),
         "threat_index": scoring.from_units(F.expr("sum(DISTINCT weight_units)")),
@@ -57,7 +58,7 @@ def common_aggs() -> list[Column]:
 
 def _aggs_by_id() -> list[Column]:
     """The same measures over rows that already hold one CVE each."""
-    counted = {name: F.count_if(F.expr(when)) for name, when in _COUNTED.items()}
+    counted = {name: F.count_if(F.expr(when)) for name, when in CONDITIONS.items()}
     measures = {
         "total_cves": F.count("cveId"),
         "threat_index": scoring.from_units(F.sum("weight_units")),
@@ -67,13 +68,14 @@ def _aggs_by_id() -> list[Column]:
     return [measures[name].alias(name) for name in MEASURES]
 
 
-def _base(enriched: DataFrame) -> DataFrame:
+def calendar_base(enriched: DataFrame) -> DataFrame:
     """Only what the rollups need, with calendar columns and integer weights."""
     return (dates.date_parts(enriched)
             .withColumn("weight_units", scoring.weight_units(F.col("weighted_score"))))
 
 
-def _finish(df: DataFrame, view: str) -> DataFrame:
+def finish(df: DataFrame, view: str) -> DataFrame:
+    """The calendar columns and the rating of a view."""
     grain, level = view.split("_")
     if grain == "daily":
         for missing in {"global": ["vendor", "product"], "vendor": ["product"]}.get(level, []):
@@ -94,15 +96,15 @@ def rollup(enriched: DataFrame, view: str, dedupe: str = "weight",
     views by exact publish time rather than by day.
     """
     keys = view_keys(view, compat)
-    base = _base(enriched)
+    base = calendar_base(enriched)
     if dedupe == "id":
         flags = ["is_network_based", "is_no_ui", "is_low_priv", "is_fully_critical"]
         per_cve = (base.groupBy(*keys, "cveId")
                    .agg(F.max_by("severity", "weight_units").alias("severity"),
                         F.max("weight_units").alias("weight_units"),
                         *[F.max(f).alias(f) for f in flags]))
-        return _finish(per_cve.groupBy(*keys).agg(*_aggs_by_id()), view)
-    return _finish(base.groupBy(*keys).agg(*common_aggs()), view)
+        return finish(per_cve.groupBy(*keys).agg(*_aggs_by_id()), view)
+    return finish(base.groupBy(*keys).agg(*common_aggs()), view)
 
 
 def rollups(enriched: DataFrame, views: list[str] = ALL_VIEWS) -> DataFrame:
@@ -112,17 +114,22 @@ def rollups(enriched: DataFrame, views: list[str] = ALL_VIEWS) -> DataFrame:
     """
     columns = ["vendor", "product", "year_published", "month_published", "date_published"]
     sets = [view_keys(v) for v in views]
-    grouped = (_base(enriched).groupingSets(sets, *columns)
+    grouped = (calendar_base(enriched).groupingSets(sets, *columns)
                .agg(F.grouping_id().alias("_set"), *common_aggs()))
-    set_id = lambda keys: sum(1 << (len(columns) - 1 - i)
+    return named_sets(grouped, "_set", columns, dict(zip(views, sets)), "level")
+
+
+def named_sets(grouped: DataFrame, set_id: str, columns: list[str], sets: dict[str, list[str]],
+               name: str) -> DataFrame:
+    """``grouped`` with the name of the grouping set of each row in place of its ``grouping_id``."""
+    number = lambda keys: sum(1 << (len(columns) - 1 - i)
                               for i, c in enumerate(columns) if c not in keys)
-    names = F.create_map(*[F.lit(x) for v in views for x in (set_id(view_keys(v)), v)])
-    return (grouped.withColumn("level", F.try_element_at(names, F.col("_set").cast("int")))
-                   .drop("_set"))
+    names = F.create_map(*[F.lit(x) for n, keys in sets.items() for x in (number(keys), n)])
+    return grouped.withColumn(name, F.try_element_at(names, F.col(set_id).cast("int"))).drop(set_id)
 
 
 def split_view(tagged: DataFrame, view: str) -> DataFrame:
-    return _finish(tagged.filter(F.col("level") == view).select(*view_keys(view), *MEASURES), view)
+    return finish(tagged.filter(F.col("level") == view).select(*view_keys(view), *MEASURES), view)
 
 
 def running_total(daily: DataFrame, level: str, order: str = "date_published",
@@ -135,7 +142,7 @@ def running_total(daily: DataFrame, level: str, order: str = "date_published",
     total of the earlier blocks.
     """
     keys = LEVEL_KEYS[level]
-    cents = F.round(F.col("threat_index") * 100).cast("bigint")
+    cents = _cents()
     upto_here = (Window.partitionBy(*keys, *([block] if block else []))
                  .orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     summed = daily.withColumn("_sum", F.sum(cents).over(upto_here))
@@ -150,8 +157,46 @@ def running_total(daily: DataFrame, level: str, order: str = "date_published",
         summed = (summed.join(offsets, same, "left")
                   .select(*[summed[c] for c in daily.columns],
                           (F.col("_sum") + F.col("_before")).alias("_sum")))
-    total = F.col("_sum") / F.lit(100.0)
-    return (summed.withColumn("cumulative_threat_index", total)
-                  .withColumn("running_risk_rating",
-                              scoring.risk_rating(F.col("cumulative_threat_index"), f"ytd_{level}"))
-                  .drop("_sum"))
+    return _rated(summed, level, F.col("_sum")).drop("_sum")
+
+
+def _cents() -> Column:
+    return F.round(F.col("threat_index") * 100).cast("bigint")
+
+
+def _rated(df: DataFrame, level: str, total: Column) -> DataFrame:
+    return (df.withColumn("cumulative_threat_index", total / F.lit(100.0))
+              .withColumn("running_risk_rating", scoring.risk_rating(
+                  F.col("cumulative_threat_index"), f"ytd_{level}")))
+
+
+def year_totals(daily: DataFrame, level: str) -> DataFrame:
+    """(level keys, year_published, cents): what each year adds to the running total of a key."""
+    return daily.groupBy(*LEVEL_KEYS[level], "year_published").agg(F.sum(_cents()).alias("cents"))
+
+
+def running_total_from(daily: DataFrame, years: DataFrame, level: str,
+                       start: date | None) -> DataFrame:
+    """The rows of ``running_total`` from day ``start`` on, or all of them where it is None.
+
+    ``years`` are the ``year_totals`` of the whole view. Totals of earlier years come from there, so
+    of ``daily`` only the year of ``start`` and later ones are read; undated rows count as earlier.
+    """
+    if start is None:
+        return running_total(daily, level)
+    keys = LEVEL_KEYS[level]
+    year, day = F.col("year_published"), F.col("date_published")
+    rows = daily.filter(year >= start.year)
+    before = (years.filter(year.isNull() | (year < start.year)).select(*keys, "cents")
+              .unionByName(rows.filter(day < F.lit(start)).select(*keys, _cents().alias("cents")))
+              .groupBy(*keys).agg(F.sum("cents").alias("_before")))
+    upto = (Window.partitionBy(*keys).orderBy("date_published")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    summed = rows.filter(day >= F.lit(start)).withColumn("_sum", F.sum(_cents()).over(upto))
+    if keys:
+        same = reduce(Column.__and__, [F.col(f"d.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])
+        summed = summed.alias("d").join(before.alias("b"), same, "left").select("d.*", "_before")
+    else:
+        summed = summed.withColumn("_before", before.scalar())
+    total = F.coalesce(F.col("_before") + F.coalesce("_sum", F.lit(0)), F.col("_sum"))
+    return _rated(summed, level, total).drop("_sum", "_before")

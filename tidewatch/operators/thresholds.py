@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+from .prefix import running_sums
+
+Cut = Callable[[DataFrame], DataFrame]
 STATS = ["total_count", "min_val", "max_val", "p25", "median", "p75",
          "low_threshold", "med_threshold", "high_threshold"]
+_CUTS = ["low_threshold", "med_threshold", "high_threshold"]
 
 
 def union_levels(views: dict[str, DataFrame]) -> DataFrame:
@@ -21,32 +27,36 @@ def _value_counts(levels: DataFrame) -> DataFrame:
     return levels.groupBy("level", "threat_index").agg(F.count("*").alias("_n"))
 
 
-def _with_stats(counts: DataFrame) -> DataFrame:
-    """Value counts with the statistics of their level on every row.
+def _counts(df: DataFrame) -> DataFrame:
+    return cut_lineage(df, "counts")
+
+
+def _quartiles(counts: DataFrame) -> DataFrame:
+    """(level, total_count, min_val, max_val, q1, q2, q3) of value counts.
 
-    Indexes are sums of distinct weights rounded to hundredths: with scores of one decimal a
-    level has at most some 32,500 distinct values, which bounds the windows.
+    A quartile is the smallest value that at least its share of the rows does not exceed. Values are
+    dealt out by ranges and a value's rank is the prefix sum of the counts up to it, so a level of any
+    number of distinct values spreads over all tasks. The value that holds the rank then comes out of
+    the one range that has it, as a minimum.
     """
-    level = Window.partitionBy("level")
-    upto = (level.orderBy("threat_index")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    known = F.when(F.col("threat_index").isNotNull(), F.col("_n")).otherwise(0)
-    ranked = counts.withColumns({
-        "total_count": F.sum("_n").over(level),
-        "min_val": F.min("threat_index").over(level),
-        "max_val": F.max("threat_index").over(level),
-        "_known": F.sum(known).over(level),
-        "_upto": F.sum(known).over(upto)})
-    # smallest value that at least the given share of the rows does not exceed
-    quartile = lambda p: F.min(
-        F.when(F.col("_upto") >= p * F.col("_known"), F.col("threat_index"))).over(level)
-    cut = {"q1": quartile(0.25), "q2": quartile(0.5), "q3": quartile(0.75)}
-    return ranked.withColumns(cut).withColumns({
+    level = counts.groupBy("level").agg(
+        F.sum("_n").alias("total_count"), F.min("threat_index").alias("min_val"),
+        F.max("threat_index").alias("max_val"))
+    ranked = running_sums(counts.filter("threat_index IS NOT NULL"), ["level"], ["threat_index"],
+                          {"_upto": F.col("_n")}, {"_known": "_upto"})
+    share = lambda p: F.min(F.when(F.col("_upto") >= p * F.col("_known"), F.col("threat_index")))
+    cut = ranked.groupBy("level").agg(share(0.25).alias("q1"), share(0.5).alias("q2"),
+                                      share(0.75).alias("q3"))
+    return level.join(cut, "level", "left")
+
+
+def _stats(counts: DataFrame) -> DataFrame:
+    """One row per level with ``STATS``; the cut points are rounded up."""
+    return _quartiles(counts).withColumns({
         "p25": F.round("q1", 2), "median": F.round("q2", 2), "p75": F.round("q3", 2),
         "low_threshold": F.ceil("q1").cast("double"),
         "med_threshold": F.ceil("q2").cast("double"),
-        "high_threshold": F.ceil("q3").cast("double")}).select(
-            "level", "threat_index", "_n", *STATS)
+        "high_threshold": F.ceil("q3").cast("double")}).select("level", *STATS)
 
 
 def _buckets() -> list[Column]:
@@ -62,10 +72,12 @@ def _buckets() -> list[Column]:
     return [F.sum(F.when(c, F.col("_n")).otherwise(0)).alias(n) for n, c in between.items()]
 
 
-def threshold_stats(levels: DataFrame) -> DataFrame:
-    """Count, range and exact quartiles per level; the cut points are rounded up."""
-    stats = _with_stats(_value_counts(levels))
-    return stats.groupBy("level").agg(*[F.first(c).alias(c) for c in STATS])
+def threshold_stats(levels: DataFrame, cut: Cut = _counts) -> DataFrame:
+    """Count, range and exact quartiles per level; the cut points are rounded up.
+
+    No level passes through one task, whatever its number of distinct values.
+    """
+    return _stats(cut(_value_counts(levels)))
 
 
 def bucket_counts(levels: DataFrame, thresholds: DataFrame) -> DataFrame:
@@ -73,22 +85,24 @@ def bucket_counts(levels: DataFrame, thresholds: DataFrame) -> DataFrame:
 
     Equal values are counted first; the threshold side is as small as the caller's levels are few.
     """
-    cuts = thresholds.select("level", "low_threshold", "med_threshold", "high_threshold")
+    cuts = thresholds.select("level", *_CUTS)
     return (_value_counts(levels).join(cuts, "level")
             .groupBy("level").agg(*_buckets()))
 
 
-def threshold_table(levels: DataFrame) -> DataFrame:
+def threshold_table(levels: DataFrame, cut: Cut = _counts) -> DataFrame:
     """Statistics, cut points, bucket sizes and readable ranges, ordered by level.
 
-    One pass: the value counts carry their level's cut points and need no join back.
+    Equal values are counted once, and written, as the statistics and the buckets both read them.
     """
+    counts = cut(_value_counts(levels))
+    stats = _stats(counts)
+    sized = counts.join(stats.select("level", *_CUTS), "level").groupBy("level").agg(*_buckets())
     whole = lambda c, add=0: (F.col(c).cast("bigint") + add).cast("string")
     upto = lambda name, lo, hi: F.concat(
         F.lit(f"{name} = "), whole(lo, 1), F.lit(" … "), whole(hi))
     return (
-        _with_stats(_value_counts(levels)).groupBy("level")
-        .agg(*[F.first(c).alias(c) for c in STATS], *_buckets())
+        stats.join(sized, "level")
         .select(
             "level", "total_count", "min_val", "p25", "median", "p75", "max_val",
             "low_threshold", "med_threshold", "high_threshold",

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.rollups import ALL_VIEWS, LEVEL_KEYS, MEASURES
 
@@ -22,6 +25,74 @@ def compact_json(df: DataFrame, path: str, shards: int, compression: str | None
     (writer.option("compression", compression) if compression else writer).text(path)
 
 
+@contextmanager
+def _packed_reads(spark: SparkSession, size: int) -> Iterator[None]:
+    """Tasks read whole files, packed together up to ``size`` bytes each."""
+    wanted = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "0",
+              "spark.sql.files.minPartitionNum": "1", "spark.sql.files.maxPartitionNum": None}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def compact_files(spark: SparkSession, source: str, path: str, shard_bytes: int,
+                  compression: str | None = None) -> None:
+    """The lines of many small text files in few files, each made of about ``shard_bytes`` of input.
+
+    Spark's reader packs the files of a task up to that size, longest first, and a task writes one
+    file: there is no shuffle, no number of shards to guess, and two shards together always exceed
+    ``shard_bytes``. Plain files beyond that size are cut between lines, gzip files are not.
+    """
+    with _packed_reads(spark, shard_bytes):
+        lines = spark.read.option("recursiveFileLookup", "true").text(source)
+        writer = lines.write.mode("overwrite")
+        (writer.option("compression", compression) if compression else writer).text(path)
+
+
+def _literal(kind: T.DataType, value: object) -> str:
+    if value is None:
+        return "NULL"
+    return str(value) if isinstance(kind, T.IntegralType) else f"'{value}'"
+
+
+def publish_partitions(df: DataFrame, name: str, parts: list[str], root: str, run: str,
+                       touched: DataFrame) -> None:
+    """Replace the ``touched`` partitions of the catalog table ``name`` by those in ``df``.
+
+    The rows go into a folder of their own, ``<root>/run=<run>``; then the catalog's partitions are
+    pointed at the new folders, and touched ones without rows are dropped. No file is deleted or
+    overwritten: who reads a partition meanwhile reads the old files or the new ones, and a
+    run that broke off can be run again. The table is created with the first run.
+    """
+    spark = df.sparkSession
+    folder = f"{root.rstrip('/')}/run={run}"
+    df.write.mode("overwrite").partitionBy(*parts).parquet(folder)
+    written = spark.read.schema(df.schema).parquet(folder).select(*parts).distinct().collect()
+    if not spark.catalog.tableExists(name):
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet PARTITIONED BY "
+                  f"({', '.join(f'`{c}`' for c in parts)}) LOCATION '{root.rstrip('/')}/none'")
+    kinds = {c: df.schema[c].dataType for c in parts}
+    spec = lambda row: "PARTITION (" + ", ".join(
+        f"`{c}` = {_literal(kinds[c], row[c])}" for c in parts) + ")"
+    place = lambda row: folder + "".join(
+        f"/{c}={NO_VALUE if row[c] is None else row[c]}" for c in parts)
+    # calendar periods: a short list of names, no data
+    for row in written:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {spec(row)} LOCATION '{place(row)}'")
+        spark.sql(f"ALTER TABLE {name} {spec(row)} SET LOCATION '{place(row)}'")
+    held = {tuple(row[c] for c in parts) for row in written}
+    for row in touched.select(*parts).distinct().collect():
+        if tuple(row[c] for c in parts) not in held:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {spec(row)}")
+    spark.catalog.refreshTable(name)
+
+
 def append_table(df: DataFrame, name: str, partition_by: list[str]) -> None:
     """Create the table if absent, then append."""
     df.write.format("parquet").partitionBy(*partition_by).mode("append").saveAsTable(name)
