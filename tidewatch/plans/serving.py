@@ -8,15 +8,15 @@ from ..sources import tables
 from ..streaming import files
 
 
-def publish(spark: SparkSession, views: str, out: str, checkpoint: str, first_run: bool = False
-            ) -> None:
-    """Export the new files of all serving tables below ``views`` to ``<out>/<table>/batch=<n>``.
+def publish(spark: SparkSession, views: str, out: str, checkpoint: str, first_run: bool = False,
+            names: list[str] | None = None) -> None:
+    """Export the new files of the serving tables below ``views`` to ``<out>/<table>/batch=<n>``.
 
-    The checkpoint of a table knows the files it has exported; the first run takes all of them, a
-    later one needs the first run's checkpoint. A batch is a folder of its own and replaces itself
-    when it is run again, so no row comes twice.
+    All tables are exported, or those in ``names``. The checkpoint of a table knows the files it has
+    exported; the first run takes all of them, a later one needs the first run's checkpoint. A batch
+    is a folder of its own and replaces itself when it is run again, so no row comes twice.
     """
-    for table in tables.SERVING_SPECS:
+    for table in names or tables.SERVING_SPECS:
         seen = f"{checkpoint}/{table}"
         if not first_run:
             files.require_backfill(spark, seen)
