@@ -14,9 +14,10 @@ shares a bucket is then checked on the full sets, in two passes:
 
 1. Every member of a bucket is checked against the bucket's head, the member that meets most
    others in all buckets. This takes one pair a member and joins most groups of near copies.
-2. Members of a bucket that are not in one component yet are compared by their sketches; pairs
-   that agree in ``LEAST_AGREEING`` coordinates or more are checked (similar sets agree in fewer
-   with probability 1e-11). Large buckets are dealt in blocks over many tasks.
+2. Members of a bucket that are not in one component yet are compared with each other where they
+   meet, on their full sets too. Elements that no other such member has bound what a member can
+   share: those that cannot be similar to any other are left out before, and pairs out of bounds
+   are passed over. Large buckets are dealt in blocks over many tasks, and links return as forests.
 
 Pairs within one component need no check, so all links between different components are found and
 no group is expanded into all its pairs.
@@ -37,10 +38,8 @@ from .common import components, documents
 
 COORDINATES = 128
 ROWS = 4
-#: Of ``COORDINATES``; sets at the threshold agree in 109 on average, with a deviation of 4.
-LEAST_AGREEING = 80
-#: Members of a bucket that are compared in one task at a time.
-BLOCK = 1024
+#: Bytes of the sets of a bucket that make a block; a task holds two blocks at a time.
+BLOCK_BYTES = 8 << 20
 
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -104,36 +103,33 @@ def _rep(doc_id: Column, text: Column) -> Column:
 
 
 def sketches(docs: DataFrame, words: int = 5) -> DataFrame:
-    """(doc_id, rep, n, hi, lo, bands, sketch) of every row: the size and 128-bit digest of its set,
-    a key for each band and a byte of each coordinate (none of these for an empty set)."""
+    """(doc_id, rep, n, hi, lo, bands) of every row: the size and 128-bit digest of its set and a key
+    for each band of its sketch (none for an empty set)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            n, digests, bands, short = [], [], [], []
+            n, digests, bands = [], [], []
             for x in batch.column("text"):
                 s = shingles(x.as_py() or b"", words)
                 n.append(len(s))
                 digests.append(xxh3_128_digest(s.tobytes()))
                 if len(s):
-                    c = sketch(s)
-                    bands.append(band_keys(c).view(np.int64))
-                    short.append(c.astype(np.uint8).tobytes())
+                    bands.append(band_keys(sketch(s)).view(np.int64))
                 else:
                     bands.append(None)
-                    short.append(None)
             halves = np.frombuffer(b"".join(digests), dtype=">i8").reshape(-1, 2).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("rep"), pa.array(n, pa.int64()),
                  pa.array(np.ascontiguousarray(halves[:, 0])),
                  pa.array(np.ascontiguousarray(halves[:, 1])),
-                 pa.array(bands, pa.list_(pa.int64())), pa.array(short, pa.binary())],
-                ["doc_id", "rep", "n", "hi", "lo", "bands", "sketch"])
+                 pa.array(bands, pa.list_(pa.int64()))],
+                ["doc_id", "rep", "n", "hi", "lo", "bands"])
 
     rows = documents(docs).select("doc_id", _rep(F.col("doc_id"), F.col("text")).alias("rep"),
                                   F.col("text").cast("binary").alias("text"))
     return rows.mapInArrow(run, "doc_id long, rep long, n long, hi long, lo long, "
-                                "bands array<long>, sketch binary")
+                                "bands array<long>")
 
 
 def classes(sketched: DataFrame) -> DataFrame:
@@ -143,8 +139,7 @@ def classes(sketched: DataFrame) -> DataFrame:
     """
     grouped = (sketched.where("n > 0").groupBy("hi", "lo")
                .agg(F.min("doc_id").alias("first"), F.min("rep").alias("rep"),
-                    F.first("n").alias("n"), F.first("bands").alias("bands"),
-                    F.first("sketch").alias("sketch")))
+                    F.first("n").alias("n"), F.first("bands").alias("bands")))
     return grouped.withColumn("class", F.monotonically_increasing_id())
 
 
@@ -214,71 +209,118 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int = 85) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def _agreeing(sk: np.ndarray, root: np.ndarray, side: np.ndarray) -> list[tuple[int, int]]:
-    """Places (i, j), i < j, of members of different roots and sides whose sketches agree."""
-    found = []
-    for i in range(len(sk) - 1):
-        other = np.flatnonzero((root[i + 1:] != root[i]) & (side[i + 1:] != side[i])) + i + 1
-        if len(other):
-            near = np.count_nonzero(sk[other] == sk[i], axis=1) >= LEAST_AGREEING
-            found += [(i, j) for j in other[near]]
+def shared_sizes(sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(class, n, core) of the classes ``wanted``: the size of the set, and how many of its elements
+    some other of these classes has, too. No intersection with one of them exceeds that."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for c, s in zip(batch.column("class").to_pylist(), batch.column("s")):
+                element = np.frombuffer(s.as_buffer(), dtype=np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(element), pa.array(np.full(len(element), c))], ["element", "class"])
+
+    held = sets.join(wanted, "class", "left_semi")
+    elements = held.select("class", "s").mapInArrow(run, "element long, class long")
+    # an element of thousands of classes is brought down to two numbers before the shuffle
+    single = (elements.groupBy("element").agg(F.min("class").alias("class"), F.max("class").alias("last"))
+              .where("class = last").groupBy("class").agg(F.count("*").alias("own")))
+    return held.select("class", "n").join(single, "class", "left").select(
+        "class", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("core"))
+
+
+def _forest(ids: np.ndarray, root: np.ndarray, side: np.ndarray, core: np.ndarray,
+            sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between members of different roots and sides, as many as join what is linked.
+
+    The sets of all members that could be similar to one are counted at once against a mark at each
+    of its elements. What a link joins is one root from then on.
+    """
+    n = np.array([len(s) for s in sets])
+    starts = np.cumsum(n) - n
+    names, element = np.unique(np.concatenate(sets), return_inverse=True)
+    marked, root, found = np.zeros(len(names), dtype=np.int64), root.copy(), []
+    for i in range(len(ids) - 1):
+        common = np.minimum(core[i], core[i + 1:])
+        other = np.flatnonzero((root[i + 1:] != root[i]) & (side[i + 1:] != side[i])
+                               & (100 * common >= percent * (n[i] + n[i + 1:] - common))) + i + 1
+        if not len(other):
+            continue
+        mine = element[starts[i]:starts[i] + n[i]]
+        marked[mine] = 1
+        sizes = n[other]
+        ends = np.cumsum(sizes)
+        at = np.arange(ends[-1]) + np.repeat(starts[other] - (ends - sizes), sizes)
+        shared = np.add.reduceat(marked[element[at]], ends - sizes)
+        marked[mine] = 0
+        for j in other[100 * shared >= percent * (n[i] + sizes - shared)]:
+            if root[j] != root[i]:
+                found.append((ids[i], ids[j]))
+                root[root == root[j]] = root[i]
     return found
 
 
-def apart_pairs(filed: DataFrame, found: DataFrame, roots: DataFrame) -> DataFrame:
-    """Distinct (a, b) that share a bucket, lie in different components and have near sketches.
+def apart_links(filed: DataFrame, sets: DataFrame, roots: DataFrame, percent: int = 85) -> DataFrame:
+    """(a, b): links of classes that share a bucket but lie in different components of ``roots``.
 
-    A bucket of more than ``BLOCK`` members is cut into blocks, and each pair of blocks is a cell
-    of its own, so that no task holds more than two blocks.
+    Classes whose elements are too much their own to be similar to any other are left out first. The
+    full sets of the others are compared where they meet. A bucket of more than ``BLOCK_BYTES`` is
+    cut into blocks, and each pair of blocks is a cell of its own, so that no task holds more than
+    about two blocks. A cell returns a spanning forest of its links, never all pairs.
     """
     named = filed.join(roots, filed["class"] == roots["node"], "left").select(
-        "bucket", "class", "size", F.coalesce("root", "class").alias("root"))
-    mixed = (named.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-             .where("low < high").select("bucket"))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("long")
+        "bucket", "class", F.coalesce("root", "class").alias("root"))
+
+    def mixed(members: DataFrame, size: Column) -> DataFrame:
+        several = (members.groupBy("bucket").agg(
+            F.min("root").alias("low"), F.max("root").alias("high"), F.sum(size).alias("size"))
+            .where("low < high").select("bucket", "size"))
+        return members.join(several, "bucket")
+
+    first = cut_lineage(mixed(named, F.lit(0)).drop("size"), "apart")
+    able = shared_sizes(sets, first.select("class").distinct()).where(
+        F.col("core") * 100 >= percent * F.col("n"))
+    kept = mixed(first.join(able, "class"), 8 * F.col("n"))
+    blocks = F.ceil(F.col("size") / BLOCK_BYTES).cast("long")
     at = F.pmod(F.xxhash64("class"), blocks)
-    open_ = (named.join(mixed, "bucket", "left_semi")
-             .join(found.select("class", "sketch"), "class")
-             .withColumn("at", at).withColumn("other", F.explode(F.sequence(
+    open_ = (kept.withColumn("at", at).withColumn("other", F.explode(F.sequence(
                  F.lit(0).cast("long"), blocks - 1)))
              .select(F.xxhash64("bucket", F.least("at", "other"), F.greatest("at", "other"))
-                     .alias("cell"), "class", "root", "sketch",
+                     .alias("cell"), "class", "root", "core",
                      # a cell of two blocks has the pairs across them; in a cell of one block
                      # each member is a side of its own
                      F.when(F.col("at") == F.col("other"), F.col("class"))
                      .when(F.col("at") < F.col("other"), -1).otherwise(-2).alias("side")))
-    dealt = open_.repartition("cell").sortWithinPartitions("cell", "class")
-
-    def pairs(rows: pa.Table) -> pa.RecordBatch:
-        cell = rows.column("cell").to_numpy()
-        ids = rows.column("class").to_numpy()
-        root = rows.column("root").to_numpy()
-        side = rows.column("side").to_numpy()
-        sk = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), dtype=np.uint8)
-        sk = sk.reshape(-1, COORDINATES)
+    dealt = (open_.join(sets.select("class", "s"), "class")
+             .repartition("cell").sortWithinPartitions("cell", "class"))
+
+    def links(rows: pa.Table) -> pa.RecordBatch:
+        cell, ids, root, core, side = (rows.column(c).to_numpy() for c in (
+            "cell", "class", "root", "core", "side"))
+        found = rows.column("s").combine_chunks()
         starts = np.flatnonzero(np.diff(cell, prepend=cell[:1] - 1))
         out = []
-        for s, e in zip(starts, np.append(starts[1:], len(cell))):
-            if e - s > 1:
-                out += [(ids[s + i], ids[s + j])
-                        for i, j in _agreeing(sk[s:e], root[s:e], side[s:e])]
+        for a, b in zip(starts, np.append(starts[1:], len(cell))):
+            if b - a > 1 and (root[a:b] != root[a]).any():
+                out += _forest(ids[a:b], root[a:b], side[a:b], core[a:b],
+                               [np.frombuffer(found[int(i)].as_buffer(), dtype=np.uint64)
+                                for i in range(a, b)], percent)
         made = np.array(out, dtype=np.int64).reshape(-1, 2)
         return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(made[:, 0])),
                                            pa.array(np.ascontiguousarray(made[:, 1]))], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables(
-                [held, pa.Table.from_batches([batch])])
-            if held.num_rows:
-                cell = held.column("cell").to_numpy()
-                whole = int(np.searchsorted(cell, cell[-1]))  # the last cell may go on
-                if whole:
-                    yield pairs(held.slice(0, whole))
-                    held = held.slice(whole)
-        if held is not None and held.num_rows:
-            yield pairs(held)
+            if not batch.num_rows:
+                continue
+            cell = batch.column("cell").to_numpy()
+            cut = int(np.searchsorted(cell, cell[-1]))  # the last cell may go on
+            if cut or (held and held[-1].column("cell")[-1].as_py() != cell[0]):
+                yield links(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+                held = []
+            held.append(batch.slice(cut))
+        if held:
+            yield links(pa.Table.from_batches(held))
 
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
@@ -304,7 +346,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 85) -> DataF
     sets = cut_lineage(sets_of(docs, wanted, words), "sets")
     links = cut_lineage(confirm(head_pairs(filed), sets, percent), "links")
     roots = cut_lineage(components(links), "roots")
-    more = cut_lineage(confirm(apart_pairs(filed, found, roots), sets, percent), "links")
+    more = cut_lineage(apart_links(filed, sets, roots, percent), "links")
     # what the second pass joins are whole components
     if not more.isEmpty():
         roots = components(links.union(more))
