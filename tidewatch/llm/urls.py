@@ -5,8 +5,9 @@ intervals in which a domain is on the list. A capture of a page is judged by the
 stood when it was fetched, for its host and each domain above it.
 
 Captures and intervals meet by domain *and* period: an interval is filed under each period of
-``PERIOD_DAYS`` that it touches, so a capture is compared with the few intervals of its own
-period and a busy domain is spread over its periods. Within a key rows differ by range only.
+``PERIOD_DAYS`` that it touches and in which its domain was captured, so a capture is compared with
+the few intervals of its own period and a busy domain is spread over its periods. Within a key rows
+differ by range only.
 """
 
 from __future__ import annotations
@@ -56,19 +57,21 @@ def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
 
     ``captures`` has capture_id, url and fetched; ``lists`` names the lists that a capture was on,
     in order, joined by commas. Defined cases: a null or relative URL has a null host and is on no
-    list, nor is one without a fetch time; repeated rows are judged one by one; empty tables give
+    list, nor is one without a fetch time; dates may be any that Spark knows; repeated rows are judged one by one; empty tables give
     no rows and block nothing; other columns are ignored.
     """
     seen = (captures.select("capture_id", "url", F.col("fetched").cast("timestamp").alias("fetched"))
             .withColumn("row", F.monotonically_increasing_id())
             .withColumn("host", host_of(F.col("url"))).drop("url"))
-    valid = intervals(entries)
-    # open intervals reach to the last capture
-    last = captures.agg(F.max(F.col("fetched").cast("timestamp")).alias("t")).first()["t"]
-    filed = (valid.where(F.col("from") <= F.lit(last)).withColumn("period", F.explode(F.sequence(
-        _period(F.col("from")), _period(F.least(F.coalesce("until", F.lit(last)), F.lit(last)))))))
     asked = seen.select("*", F.explode_outer(domains_of(F.col("host"))).alias("domain"),
                         _period(F.col("fetched")).alias("period"))
+    # an interval is filed under those periods alone in which its domain was asked for, so an open
+    # one does not reach further than the captures, and a lone far date costs one period
+    wanted = asked.select("domain", "period").dropna().distinct()
+    valid = intervals(entries)
+    reaches = ((F.col("period") >= _period(F.col("from")))
+               & (F.col("until").isNull() | (F.col("period") <= _period(F.col("until")))))
+    filed = valid.join(wanted, "domain").where(reaches)
     active = ((asked.domain == filed.domain) & (asked.period == filed.period)
               & (asked.fetched >= filed["from"])
               & (filed.until.isNull() | (asked.fetched < filed.until)))
