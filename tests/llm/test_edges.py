@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tidewatch.llm import (bpe, chat, decontaminate, pii, quality, secrets, simhash, suffixes,
                            toxicity, urls)
-from tidewatch.llm.queries import TOKENIZERS, labelled_findings
+from tidewatch.llm.queries import TOKENIZERS
 
 PATH = f"{TOKENIZERS}/byte_bpe_50k.json"
 CLASHING = ("fp component_id cell e ids decoded spans asked start count words h row key bucket weight "
@@ -124,7 +124,7 @@ def test_secrets(docs, empty):
     pieces = secrets.dictionary(docs)
     found = secrets.features(secrets.findings(pathed.select("doc_id", "text", "path")), pieces)
     assert {r.doc_id for r in secrets.scan(found, None).collect()} == {3, 7}
-    assert secrets.train(labelled_findings(found).where("label = 1")) is None
+    assert secrets.train(found.withColumn("label", F.lit(1))) is None
     assert secrets.findings(empty).count() == 0
 
 

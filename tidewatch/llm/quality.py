@@ -9,7 +9,8 @@ trusted ones score about zero or more, texts in a style that trusted documents l
 below. A text is kept if it fails no base rule and its score reaches a fixed threshold.
 
 Weights are whole millionths, so sums do not depend on the order of rows and each document
-gets the same verdict in every run.
+gets the same verdict in every run. Texts are judged row by row against one array of all weights,
+whose size is fixed by ``buckets``; the corpus is shuffled as counts of buckets alone.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .common import SEPARATORS, documents
 
 BUCKETS = 1 << 20
@@ -27,12 +29,15 @@ FLOOR = 0.1
 #: Mean log-likelihood ratio of an n-gram that a kept document reaches, in millionths.
 THRESHOLD = -300_000
 SYMBOLS = "#*$%&|<>"
+#: Ids of trusted documents that are broadcast at most, some 32 MB.
+SENT_IDS = 1 << 21
 
 
 def _worded(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, words, h): a null text is empty; ``h`` has a 64-bit hash of each word."""
+    """``docs`` (doc_id, text, ...) with words and h: a null text is empty; ``h`` has a 64-bit hash of
+    each word."""
     inner = F.btrim("text", F.lit(" \t\n\x0b\f\r"))
-    return (documents(docs).withColumn("text", F.coalesce("text", F.lit("")))
+    return (docs.withColumn("text", F.coalesce("text", F.lit("")))
             .withColumn("inner", inner)
             .withColumn("words", F.when(F.col("inner") == "", F.array().cast("array<string>"))
                         .otherwise(F.split("inner", SEPARATORS)))
@@ -87,19 +92,20 @@ def _ngrams(h: Column, buckets: int) -> Column:
     """Buckets of all words, then of all pairs of neighbours; ``buckets`` is a power of two."""
     half = buckets // 2
     mask = F.lit(half - 1).cast("long")
-    pairs = F.transform(h, lambda x, i: F.shiftright(x, 7).bitwiseXOR(
-        F.get(h, i + 1)).bitwiseAND(mask).bitwiseOR(F.lit(half).cast("long")))
-    return F.concat(F.transform(h, lambda x: x.bitwiseAND(mask)), pairs)
+    seconds = F.slice(h, 2, F.greatest(F.size(h) - 1, F.lit(0)))
+    pairs = F.transform(seconds, lambda x, i: F.shiftright(F.get(h, i), 7).bitwiseXOR(x)
+                        .bitwiseAND(mask).bitwiseOR(F.lit(half).cast("long")).cast("int"))
+    return F.concat(F.transform(h, lambda x: x.bitwiseAND(mask).cast("int")), pairs)
 
 
 def statistics(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, h, and the base columns) of each row; a null text is empty."""
+    """``docs`` (doc_id, text, ...) with h and the base columns; a null text is empty."""
     text, words = F.col("text"), F.col("words")
     symbols = len(SYMBOLS) * F.length(text)
     for s in SYMBOLS:
         symbols = symbols - F.length(F.replace(text, F.lit(s), F.lit("")))
     counted = _worded(docs).select(
-        "doc_id", "text", "h", F.size("words").cast("long").alias("n_words"),
+        *docs.columns, "h", F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
         symbols.cast("long").alias("n_symbols"),
         _dup_lines(text).cast("long").alias("n_dup_lines"))
@@ -113,11 +119,14 @@ def weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> Data
     """
     chosen = (trusted.select(F.col("doc_id").cast("long").alias("doc_id")).dropna().distinct()
               .withColumn("target", F.lit(1)))
-    # ids alone are sent: a shuffle join would move every text
-    grams = (_worded(docs).join(F.broadcast(chosen), "doc_id", "left")
-             .select("target", F.explode(_ngrams(F.col("h"), buckets)).alias("bucket"))
-             .where("bucket IS NOT NULL"))
-    counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("target").alias("hit"))
+    # ids are sent to the texts as long as they are known to be few; beyond that texts are shuffled
+    if chosen.limit(SENT_IDS + 1).count() <= SENT_IDS:
+        chosen = F.broadcast(chosen)
+    marked = documents(docs).join(chosen, "doc_id", "left").select("text", "target")
+    grams = _worded(marked).select("target", F.explode(_ngrams(F.col("h"), buckets)).alias("bucket"))
+    # written, as the totals read them too: ``buckets`` rows at most
+    counts = cut_lineage(grams.groupBy("bucket").agg(F.count("*").alias("raw"),
+                                                     F.count("target").alias("hit")), "buckets")
     totals = counts.agg(F.sum("raw").alias("all_raw"), F.sum("hit").alias("all_hit"))
     # trusted n-grams at the rate of the corpus would give ``raw``
     scaled = F.when(F.col("all_hit") > 0, F.col("hit") * (
@@ -128,43 +137,53 @@ def weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> Data
             .select("bucket", F.round(ratio * 1_000_000).cast("long").alias("weight")))
 
 
+def weight_array(weighed: DataFrame, buckets: int = BUCKETS) -> Column:
+    """All weights in order of their buckets as one value, four bytes each; zero where there is none.
+
+    Four megabytes at ``BUCKETS`` whatever the corpus, so that every task can hold them.
+    """
+    every = weighed.sparkSession.range(buckets).withColumnRenamed("id", "bucket")
+    filled = every.join(weighed, "bucket", "left").select(
+        F.struct(F.col("bucket").cast("int").alias("bucket"),
+                 F.coalesce("weight", F.lit(0)).cast("int").alias("weight")).alias("w"))
+    return (filled.agg(F.sort_array(F.collect_list("w")).alias("w"))
+            .select(F.col("w.weight").alias("weights")).scalar())
+
+
+def _judged(docs: DataFrame, table: Column, threshold: int, buckets: int) -> DataFrame:
+    """``docs`` (doc_id, text, ...) with the base columns, llr, base_failed and kept, row by row."""
+    # Spark takes no subquery within a lambda, but puts a column that is used once in its place
+    total = F.aggregate(_ngrams(F.col("h"), buckets), F.lit(0).cast("long"),
+                        lambda a, b: a + F.get(F.col("__table"), b))
+    # words, and pairs of neighbours
+    grams = 2 * F.col("n_words") - 1
+    llr = F.when(F.col("n_words") > 0, F.floor(total / grams)).otherwise(0)
+    failed = ((F.col("n_words") < 50)
+              | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
+    return (statistics(docs).withColumn("__table", table).withColumn("llr", llr.cast("long"))
+            .drop("h", "__table")
+            .withColumn("base_failed", failed)
+            .withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold)))
+
+
 def judge(docs: DataFrame, trusted: DataFrame, threshold: int = THRESHOLD,
           buckets: int = BUCKETS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, text_hash, the base columns, llr, base_failed, kept.
+    """One row per row of ``docs``: doc_id, the base columns, llr, base_failed, kept.
 
     ``llr`` is the mean weight of the n-grams in millionths, zero where there are none.
     Defined cases: a null text has no words and fails the base rules; repeated rows are judged
     one by one; a null doc_id is kept in the result; without trusted documents every
     weight is zero and the base rules alone decide; an empty table gives no rows.
     """
-    base = statistics(docs).withColumn("text_hash", F.xxhash64("text"))
-    carried = ["doc_id", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-               "n_repeat_words"]
-    # bucket -1 is a row of its own for each text, which brings the columns to keep
-    grams = (base.withColumn("row", F.monotonically_increasing_id())
-             .select("row", *carried, F.explode(F.concat(
-                 F.array(F.lit(-1).cast("long")), _ngrams(F.col("h"), buckets))).alias("bucket"))
-             .where("bucket IS NOT NULL"))
-    # the weights have at most ``buckets`` rows of two longs
-    weighted = grams.join(F.broadcast(weights(docs, trusted, buckets)),
-                          "bucket", "left")
-    judged = weighted.groupBy("row").agg(
-        F.sum("weight").alias("total"), (F.count("*") - 1).alias("grams"),
-        *[F.max(F.when(F.col("bucket") < 0, F.col(c))).alias(c) for c in carried])
-    stats = carried[2:]
-    llr = F.when(F.col("grams") > 0, F.floor(F.col("total") / F.col("grams"))).otherwise(0)
-    failed = ((F.col("n_words") < 50)
-              | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-    return (judged.withColumn("llr", llr.cast("long")).withColumn("base_failed", failed)
-            .withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
-            .select("doc_id", "text_hash", *stats, "llr", "base_failed", "kept"))
+    table = weight_array(weights(docs, trusted, buckets), buckets)
+    return _judged(documents(docs), table, threshold, buckets).drop("text")
 
 
-def keep_good(docs: DataFrame, trusted: DataFrame, **parameters: int) -> DataFrame:
+def keep_good(docs: DataFrame, trusted: DataFrame, threshold: int = THRESHOLD,
+              buckets: int = BUCKETS) -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, with their columns."""
-    kept = (judge(docs, trusted, **parameters).where("kept")
-            .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct())
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    same = (F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
-            & (F.xxhash64(text) == F.col("__hash")))
-    return docs.join(kept, same, "left_semi").select([F.col(f"`{c}`") for c in docs.columns])
+    table = weight_array(weights(docs, trusted, buckets), buckets)
+    # the other columns travel in one, whatever their names
+    whole = docs.select(F.struct([F.col(f"`{c}`") for c in docs.columns]).alias("__row"),
+                        F.col("text").cast("string").alias("text"))
+    return _judged(whole, table, threshold, buckets).where("kept").select("__row.*")

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, chat, codes, decontaminate, merkle, minhash, oracles, pii, quality, secrets, simhash,
-               suffixes, toxicity, urls)
+from . import (bpe, chat, codes, decontaminate, merkle, minhash, oracles, pii, quality, secret_labels, secrets,
+               simhash, suffixes, toxicity, urls)
 from ..session import cut_lineage
 from .common import table
 
@@ -25,22 +25,12 @@ def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
-def labelled_findings(found: DataFrame) -> DataFrame:
-    """Findings whose form alone settles what they are: 1 for key ids of a known issuer and long
-    hexadecimal keys, 0 for plain words and plain numbers. The others are left to the forest."""
-    c = F.col("candidate")
-    secret = c.rlike(r"^AKIA[0-9A-Z]{16}$") | (
-        c.rlike("^[0-9a-f]{24,}$") & c.rlike("[0-9]") & c.rlike("[a-f]"))
-    harmless = c.rlike("^[A-Za-z]+$") | c.rlike("^[0-9/_-]+$")
-    return found.withColumn("label", F.when(secret, 1).when(harmless, 0)).where("label IS NOT NULL")
-
-
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables have no paths; the source of a document stands for its path."""
     docs = table(spark, sf_dir, "documents").withColumn("path", F.col("source"))
-    featured = secrets.features(secrets.findings(docs), secrets.dictionary(docs))
-    # read by the training and by the scan
-    featured = cut_lineage(featured, "findings")
-    return secrets.scan(featured, secrets.train(labelled_findings(featured)))
+    pieces = cut_lineage(secrets.dictionary(docs), "dictionary")
+    model = secrets.train(secret_labels.labelled(spark, pieces).where("NOT held_out"))
+    return secrets.scan(secrets.features(secrets.findings(docs), pieces), model)
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

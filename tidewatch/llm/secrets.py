@@ -16,12 +16,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .common import SEPARATORS
 
 MIN_LENGTH = 16
 RUN = r"[A-Za-z0-9+/_-]{16,}"
-#: Pieces of words that the dictionary holds at most, the most frequent ones.
-MAX_PIECES = 4_000
+#: Share of all words that a piece of the dictionary begins; there are 50,000 such pieces at most.
+SHARE = 2e-5
 PIECE = 4
 #: Labelled findings that training takes at most, by hash.
 MAX_FINDINGS = 20_000
@@ -77,15 +78,16 @@ def findings(docs: DataFrame) -> DataFrame:
             .drop("value"))
 
 
-def dictionary(docs: DataFrame, max_pieces: int = MAX_PIECES) -> DataFrame:
-    """(piece): the most frequent ``PIECE``-letter beginnings of words, at most ``max_pieces``.
+def dictionary(docs: DataFrame, share: float = SHARE) -> DataFrame:
+    """(piece): the ``PIECE``-letter beginnings that at least ``share`` of all words have.
 
-    All words of all texts are counted.
+    All words of all texts are counted. The share bounds the number of pieces at any size of the corpus.
     """
     words = docs.select(F.explode(F.split(F.col("text").cast("string"), SEPARATORS)).alias("w"))
     pieces = words.select(F.lower(F.substring("w", 1, PIECE)).alias("piece"))
-    return (pieces.where(F.col("piece").rlike(rf"^\p{{L}}{{{PIECE}}}$")).groupBy("piece").count()
-            .orderBy(F.desc("count"), "piece").limit(max_pieces).select("piece"))
+    counts = cut_lineage(pieces.where(F.col("piece").rlike(rf"^\p{{L}}{{{PIECE}}}$"))
+                         .groupBy("piece").count(), "pieces")
+    return counts.where(F.col("count") >= share * counts.agg(F.sum("count")).scalar()).select("piece")
 
 
 def _share(text: Column, pattern: str) -> Column:
@@ -93,7 +95,12 @@ def _share(text: Column, pattern: str) -> Column:
 
 
 def features(found: DataFrame, pieces: DataFrame) -> DataFrame:
-    """``found`` with the columns ``FEATURES``."""
+    """``found`` with the columns ``FEATURES``.
+
+    The findings are numbered and written first: they are read twice, once for their places in the
+    dictionary, and must keep their numbers.
+    """
+    found = cut_lineage(found.withColumn("row", F.monotonically_increasing_id()), "findings")
     c = F.col("candidate")
     kinds = c
     for pattern, mark in (("[a-z]", "a"), ("[A-Z]", "A"), ("[0-9]", "0"), ("[^A-Za-z0]", "-")):
@@ -101,7 +108,7 @@ def features(found: DataFrame, pieces: DataFrame) -> DataFrame:
     bare = F.lower(F.regexp_replace(F.col("before"), r"^.* ", ""))
     place = F.instr(F.col("word"), c)
     lead = F.substring(F.col("word"), F.lit(1), place - 1)
-    base = (found.withColumn("row", F.monotonically_increasing_id()).select(
+    base = (found.select(
         "*", F.length(c).cast("double").alias("length"),
         ((F.length(F.regexp_replace(kinds, r"(.)\1*", "$1")) - 1) / F.length(c)).alias("changes"),
         _share(c, "[0-9]").alias("digit_share"), _share(c, "[A-Z]").alias("upper_share"),
@@ -117,7 +124,7 @@ def features(found: DataFrame, pieces: DataFrame) -> DataFrame:
         lead.rlike(r"[\"']$").cast("double").alias("quoted"),
         F.substring(bare, 1, PIECE).alias("piece_before"),
         F.substring(F.lower("after"), 1, PIECE).alias("piece_after")))
-    known = F.broadcast(pieces.withColumn("known", F.lit(1)))  # max_pieces rows at most
+    known = pieces.withColumn("known", F.lit(1))
     # places of the candidate that lie in a piece of the dictionary
     spread = base.where(F.length("candidate") >= PIECE).select("row", F.posexplode(F.transform(
         F.sequence(F.lit(1), F.length("candidate") - PIECE + 1),

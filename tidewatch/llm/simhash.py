@@ -195,14 +195,19 @@ def keep_one(docs: DataFrame, shingle_words: int = 3, max_bits: int = 3) -> Data
     """The rows of ``docs`` without near-duplicates: of each component its smallest doc_id stays.
 
     Rows that share the doc_id that stays are one document, the first by text. Rows without a
-    doc_id cannot be told apart and stay.
+    doc_id are known by their text and come behind all others: they go where a component
+    has a row with an id, and else all but one go.
     """
-    kept = (near_duplicates(docs.where("doc_id IS NOT NULL"), shingle_words, max_bits)
-            .where("doc_id = component_id").select("doc_id").distinct())
-    ranked = docs.join(kept, "doc_id", "left_semi")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    # above any id: a hash of 62 bits
+    key = F.coalesce(F.col("doc_id").cast("long"),
+                     F.shiftrightunsigned(F.xxhash64(text), 2) + F.lit(1 << 62))
+    keyed = docs.withColumn("__key", key)
+    kept = (near_duplicates(keyed.select(F.col("__key").alias("doc_id"), "text"), shingle_words, max_bits)
+            .where("doc_id = component_id").select(F.col("doc_id").alias("__key")).distinct())
     others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
-    first = Window.partitionBy("doc_id").orderBy("text", F.to_json(F.struct(*others))
-                                                 if others else F.lit(0))
-    ranked = ranked.withColumn("__rank", F.row_number().over(first)).where("__rank = 1")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return ranked.select(columns).union(docs.where("doc_id IS NULL").select(columns))
+    first = Window.partitionBy("__key").orderBy("text", F.to_json(F.struct(*others))
+                                                if others else F.lit(0))
+    ranked = (keyed.join(kept, "__key", "left_semi")
+              .withColumn("__rank", F.row_number().over(first)).where("__rank = 1"))
+    return ranked.select([F.col(f"`{c}`") for c in docs.columns])

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
+from ..operators.prefix import running_sums
 from ..session import cut_lineage
 from .common import byte_batches, documents
 
@@ -376,16 +377,41 @@ def _judge_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["doc_id", "start", "count"])
 
 
+def _numbers(texts: DataFrame) -> DataFrame | None:
+    """(id, digest, number): an own number for each text of ids that several texts share, in order of
+    ids, for all rows; None where no id is shared."""
+    named = texts.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"),
+                         F.xxhash64("text").alias("digest"))
+    shared = named.groupBy("id").agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
+    if shared.where("low != high").isEmpty():
+        return None
+    return running_sums(named.distinct(), [], ["id", "digest"], {"number": F.lit(1).cast("long")})
+
+
 def spans(docs: DataFrame) -> DataFrame:
     """(doc_id, text, spans): each row of ``docs`` with the byte intervals to remove, in order.
 
     Defined cases: a null text is empty; a text of fewer than ``LENGTH`` bytes keeps all; of
     repeated strings the one in the smallest doc_id stays, in a row without doc_id only if
-    no other row has it; rows that share a doc_id count as one document, so a place in one of them
-    is not earlier than the same place in another, and what is removed from one is removed from all;
-    an empty table gives no rows; other columns are ignored.
+    no other row has it. Rows with one id and one text are one document: what goes in one goes in
+    all. Different texts with one id, or without one, are documents of their own, in an order that
+    their digests fix. An empty table gives no rows; other columns are ignored.
     """
     texts = documents(docs).withColumn("text", F.coalesce("text", F.lit("")))
+    numbers = _numbers(texts)
+    if numbers is None:
+        return _spans(texts)
+    numbers = cut_lineage(numbers, "numbers")
+    own = (texts.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"),
+                        F.xxhash64("text").alias("digest"), "text")
+           .join(numbers, ["id", "digest"]).select(F.col("number").alias("doc_id"), "text"))
+    found = _spans(own).withColumnRenamed("doc_id", "number")
+    return found.join(numbers.select("number", "id"), "number").select(
+        F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "text", "spans")
+
+
+def _spans(texts: DataFrame) -> DataFrame:
+    """``spans`` where no two texts share an id."""
     found = texts.mapInArrow(_run_rows, _RUN_SCHEMA)
     found = found.repartition("anchor").sortWithinPartitions("anchor", "whole", "doc_id", "start")
     judged = cut_lineage(found.mapInArrow(_judge_runs, _RUN_SCHEMA), "runs")
