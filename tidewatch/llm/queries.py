@@ -29,7 +29,9 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tables have no paths; the source of a document stands for its path."""
     docs = table(spark, sf_dir, "documents").withColumn("path", F.col("source"))
     pieces = cut_lineage(secrets.dictionary(docs), "dictionary")
-    model = secrets.train(secret_labels.labelled(spark, pieces).where("NOT held_out"))
+    # read several times by the training
+    labels = cut_lineage(secret_labels.labelled(spark, pieces).where("NOT held_out"), "labels")
+    model = secrets.train(labels)
     return secrets.scan(secrets.features(secrets.findings(docs), pieces), model)
 
 
