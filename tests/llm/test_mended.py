@@ -56,6 +56,16 @@ def test_log_likelihood_ratios(spark):
     assert kept.columns == ["doc_id", "text", "__row", "h", "kept"]
 
 
+def test_texts_are_judged_once(spark):
+    """Keeping good rows takes no more work on a text than judging it."""
+    docs = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(3_000)))], "doc_id long, text string")
+    good = docs.select("doc_id")
+    steps = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("lambdafunction(")
+    kept = quality.keep_good(docs, good, buckets=256)
+    assert 0 < steps(kept) <= steps(quality.judge(docs, good, buckets=256))
+    assert [r.doc_id for r in kept.collect()] == [1]
+
+
 # --- URL filters --------------------------------------------------------------------------
 
 def test_any_date(spark):

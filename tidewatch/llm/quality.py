@@ -186,4 +186,7 @@ def keep_good(docs: DataFrame, trusted: DataFrame, threshold: int = THRESHOLD,
     # the other columns travel in one, whatever their names
     whole = docs.select(F.struct([F.col(f"`{c}`") for c in docs.columns]).alias("__row"),
                         F.col("text").cast("string").alias("text"))
-    return _judged(whole, table, threshold, buckets).where("kept").select("__row.*")
+    # a filter would be moved below the statistics, with all of them written out in its condition for
+    # each of their uses; rows that an explode leaves out are judged once
+    kept = F.explode(F.when(F.col("kept"), F.array("__row"))).alias("__row")
+    return _judged(whole, table, threshold, buckets).select(kept).select("__row.*")
