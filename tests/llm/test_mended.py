@@ -195,3 +195,10 @@ def test_features_on_any_partitioning(spark, forest):
                     "upper_share": share(c, lambda x: "A" <= x <= "Z"), "vowel_share": share(c, lambda x: x in "aeiouAEIOU"),
                     "distinct_share": len(set(c)) / len(c), "coverage": len(covered) / len(c)}
         assert all(abs(f[k] - v) < 1e-9 for k, v in expected.items()), (c, f, expected)
+
+
+def test_labelled_lines_are_written_once(spark):
+    """The labels read the lines from files; the templates are a long expression."""
+    pieces = spark.createDataFrame([("abcd",)], "piece string")
+    plan = secret_labels.labelled(spark, pieces, 20)._jdf.queryExecution().optimizedPlan().toString()
+    assert "AKIA" not in plan and "Range" not in plan

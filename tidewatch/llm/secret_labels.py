@@ -11,10 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from . import secrets
 
 #: Lines of the table; a fifth of them is held out.
 LINES = 12_000
+#: Stands in no option.
+BETWEEN = "\x1f"
 
 WORDS = """account address after again answer apple around battery because before better between bridge
 button castle change chapter children circle closed column common correct country course create
@@ -45,7 +48,8 @@ def _hash(salt: str) -> Column:
 
 def _pick(options: list[str], salt: str) -> Column:
     place = F.pmod(_hash(salt), F.lit(len(options))).cast("int")
-    return F.get(F.array(*[F.lit(x) for x in options]), place)
+    # one literal, not one per option: the templates pick a thousand times
+    return F.get(F.split(F.lit(BETWEEN.join(options)), BETWEEN), place)
 
 
 def _digest(salt: str) -> Column:
@@ -139,7 +143,8 @@ def labelled(spark: SparkSession, pieces: DataFrame, count: int = LINES) -> Data
 
     ``pieces`` is the dictionary; the words of the lines are known as well, as those of a corpus are.
     """
-    table = lines(spark, count)
+    # written: the findings and the labels name a line's text many times, and it is a long expression
+    table = cut_lineage(lines(spark, count), "lines")
     own = F.array(*[F.lit(p) for p in sorted({w[:secrets.PIECE] for w in WORDS})])
     known = pieces.union(spark.range(1).select(F.explode(own).alias("piece"))).distinct()
     found = secrets.features(secrets.findings(table), known)
