@@ -253,3 +253,11 @@ def test_latest_day_is_staged(spark, tmp_path):
     assert raw.latest_table(spark, "daily") == "daily_2025_05_03"
     with pytest.raises(LookupError):
         raw.latest_folder(spark, str(tmp_path / "notes"))
+
+
+def test_large_shards_are_split(frame, spark, tmp_path, monkeypatch):
+    """A shard asked for may not hold any amount of text."""
+    monkeypatch.setattr(tables, "SHARD_BYTES", 1_000)
+    tables.compact_json(frame([("x" * 100,)] * 90, "a string"), str(tmp_path / "out"), 2, "gzip")
+    assert len([f for f in (tmp_path / "out").iterdir() if f.name.startswith("part")]) == 10
+    assert spark.read.json(str(tmp_path / "out")).count() == 90

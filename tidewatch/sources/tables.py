@@ -14,12 +14,20 @@ from ..operators.rollups import ALL_VIEWS, LEVEL_KEYS, MEASURES
 
 #: The folder name that Spark gives a NULL partition value.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+#: Text of an NDJSON shard, beyond which there are more shards than asked for.
+SHARD_BYTES = 256 << 20
 
 
 def compact_json(df: DataFrame, path: str, shards: int, compression: str | None = None,
                  shuffle: bool = True) -> None:
-    """Many small files to ``shards`` NDJSON files, columns in schema order."""
+    """Many small files to ``shards`` NDJSON files, columns in schema order.
+
+    There are more files where one would hold more than ``SHARD_BYTES`` of text, as a task writes a
+    file, and one task has to read it where it is compressed.
+    """
     lines = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+    size = lines.agg(F.sum(F.octet_length("value"))).first()[0] or 0
+    shards = max(shards, -(-size // SHARD_BYTES))
     lines = lines.repartition(shards) if shuffle else lines.coalesce(shards)
     writer = lines.write.mode("overwrite")
     (writer.option("compression", compression) if compression else writer).text(path)
