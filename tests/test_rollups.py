@@ -143,3 +143,13 @@ def test_serving_append(enriched, spark, tmp_path):
     tables.write_serving(view, "ytd_vendor", path)
     tables.write_serving(view, "ytd_vendor", path, incremental=True)
     assert spark.read.parquet(path).count() == 2
+
+
+def test_all_views_without_expanding_rows(enriched, monkeypatch):
+    """Distinct ids of all views come out of one shuffle by id."""
+    monkeypatch.setattr(rollups, "ROWS_PER_TASK", 1)
+    df = enriched(finding("a", 9.0), finding("b", 5.0))
+    plan = rollups.rollups(df)._jdf.queryExecution()
+    assert "Expand" not in plan.optimizedPlan().toString()
+    exchanges = [line for line in plan.executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert sum("cveId" in line for line in exchanges) == 1
