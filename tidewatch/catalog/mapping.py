@@ -30,24 +30,24 @@ pairs AS (SELECT DISTINCT lower(p_brand) AS vendor, CAST(l_partkey AS VARCHAR) A
   FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber NOT IN (2, 3))"""
 
 
-def _side(spark, sf_dir, feed, when, at):
+def _side(spark, sf_dir, feed, when, at, tasks=None):
     rows = raw_pairs(spark, sf_dir).filter(when)
     if feed:
         rows = rows.filter(F.col("l_returnflag") != "N" if feed == "nvd"
                            else F.col("l_returnflag") == "N")
-    return ops.id_pairs(rows.select("vendor", "product", "cve"), ntz(at))
+    return ops.id_pairs(rows.select("vendor", "product", "cve"), ntz(at), tasks=tasks)
 
 
 _OLD = "l_shipdate < TIMESTAMP_NTZ '2001-05-01'"
 _NEW = "l_shipdate >= TIMESTAMP_NTZ '1995-03-01'"
 
 
-def old_side(spark, sf_dir, feed=None):
-    return _side(spark, sf_dir, feed, _OLD, "2025-05-01")
+def old_side(spark, sf_dir, feed=None, tasks=None):
+    return _side(spark, sf_dir, feed, _OLD, "2025-05-01", tasks)
 
 
-def new_side(spark, sf_dir, feed=None):
-    return _side(spark, sf_dir, feed, _NEW, "2025-05-03")
+def new_side(spark, sf_dir, feed=None, tasks=None):
+    return _side(spark, sf_dir, feed, _NEW, "2025-05-03", tasks)
 
 
 def all_pairs(spark, sf_dir):
@@ -108,7 +108,8 @@ FROM (SELECT vendor, product, cve, bool_or(in_old) AS o, bool_or(in_new) AS n FR
 
 @query("snapshot_diff", f"WITH {_PAIRS} {_DIFF.format(where='')}")
 def snapshot_diff(spark, sf_dir):
-    return ops.snapshot_diff(new_side(spark, sf_dir), old_side(spark, sf_dir))
+    tasks = ops.tasks_for(raw_pairs(spark, sf_dir))
+    return ops.snapshot_diff(new_side(spark, sf_dir, tasks=tasks), old_side(spark, sf_dir, tasks=tasks))
 
 
 @query("snapshot_rows", f"""WITH {_PAIRS}
@@ -145,10 +146,12 @@ SELECT sha256('["' || vendor || '","' || product || '","{_RUN}"]') AS message_id
 FROM keys""")
 def change_feed(spark, sf_dir):
     """Both feeds at once: each build is read once, whatever the number of feeds."""
+    tasks = ops.tasks_for(raw_pairs(spark, sf_dir))
+
     def side(when, at):
         rows = raw_pairs(spark, sf_dir).filter(when)
         tagged = rows.select("vendor", "product", "cve", (F.col("l_returnflag") != "N").alias("feed"))
-        return ops.id_pairs(tagged, ntz(at), ["feed"])
+        return ops.id_pairs(tagged, ntz(at), ["feed"], tasks)
 
     keys = ops.changed_keys(side(_NEW, "2025-05-03"), side(_OLD, "2025-05-01"),
                             changed_ids(spark, sf_dir), ["feed"])

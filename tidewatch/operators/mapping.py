@@ -16,6 +16,8 @@ from ..functions import nested, text
 from .prefix import running_sums
 
 MAP_KEYS = ["vendor", "product"]
+#: Rows of a build that a task makes distinct at a time.
+ROWS_PER_TASK = 250_000
 
 
 def cpe_pairs(docs: DataFrame) -> DataFrame:
@@ -54,15 +56,25 @@ def cpe_hierarchy(df: DataFrame, name: str = "cpeName") -> DataFrame:
               .filter("set_key IS NOT NULL AND member IS NOT NULL").distinct())
 
 
-def id_pairs(pairs: DataFrame, build_ts: Column, tags: list[str] = ()) -> DataFrame:
+def tasks_for(pairs: DataFrame) -> int:
+    """Number of tasks among which ``id_pairs`` deals out these rows."""
+    return pairs.count() // ROWS_PER_TASK + 1
+
+
+def id_pairs(pairs: DataFrame, build_ts: Column, tags: list[str] = (),
+             tasks: int | None = None) -> DataFrame:
     """Cleaned, distinct (vendor, product, cve) rows of one build, with the columns ``tags``.
 
-    Keys are cleaned before they are grouped, so spellings of one key share a set.
+    Keys are cleaned before they are grouped, so spellings of one key share a set. Rows are dealt out
+    by key and id among ``tasks``, or as many as their number asks for: what a task holds in memory
+    does not grow with the build. Builds dealt out among as many tasks are compared without another
+    shuffle.
     """
-    return (pairs.select(text.clean_key(F.col("vendor")).alias("vendor"),
-                         text.clean_key(F.col("product")).alias("product"), "cve", *tags)
-                 .dropna(subset=[*MAP_KEYS, "cve"]).distinct()
-                 .withColumn("build_ts", build_ts))
+    cleaned = pairs.select(text.clean_key(F.col("vendor")).alias("vendor"),
+                           text.clean_key(F.col("product")).alias("product"), "cve", *tags)
+    return (cleaned.dropna(subset=[*MAP_KEYS, "cve"])
+                   .repartition(tasks or tasks_for(pairs), *MAP_KEYS, "cve").distinct()
+                   .withColumn("build_ts", build_ts))
 
 
 def pack_id_sets(pairs: DataFrame, per_row: int = 1_000) -> DataFrame:
@@ -152,8 +164,9 @@ def snapshot(pairs: DataFrame, build: DataFrame) -> DataFrame:
 def snapshot_diff(new: DataFrame, old: DataFrame) -> DataFrame:
     """Keys whose id set differs, with the number of added and removed ids.
 
-    Both snapshots are laid on top of each other and grouped by key *and* id: one shuffle, in
-    which a key of any size spreads over all tasks, and keys that vanished are seen too.
+    Both snapshots are laid on top of each other and grouped by key *and* id, so that a key of any
+    size spreads over all tasks, and keys that vanished are seen too. Snapshots that ``id_pairs``
+    dealt out among as many tasks are grouped where they are, others take one shuffle.
     """
     side = lambda df, is_new: df.select(*MAP_KEYS, "cve", F.lit(is_new).alias("_new"))
     found = (side(new, True).unionByName(side(old, False)).groupBy(*MAP_KEYS, "cve")
